@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,115 +21,114 @@ DIALECTS = {
 }
 BLOCK_WORDS = ["LOOP", "CASE", "DO", "REPEAT", "IF"]
 DDL_WORDS = ["CREATE", "ALTER", "DROP"]
+GUARD_WORDS = ["ROW", "EACH", "CREATE", "DROP", "NOT", "EXISTS"]
 TERMINATOR_DIRECTIVE = "--#SET TERMINATOR "
 
 # Patterns of tokens. Every repetition is possessive: one pass, no recursion.
+TOLD = TERMINATOR_DIRECTIVE + r"[^\r\n]*+"
 LINE_COMMENT = r"--[^\r\n]*+"
 SLASH_COMMENT = r"//[^\r\n]*+"
 BLOCK_COMMENT = r"/\*(?s:.*?)\*/"
 QUOTED = r"'[^']*+'|\"[^\"]*+\"|`[^`]*+`"
 DOLLAR_QUOTED = r"\$([A-Za-z0-9_]*+)\$(?s:.*?)\$\1\$"
 WORD = r"[A-Za-z_][A-Za-z0-9_]*+"
-PLAIN_RUN = r"[\s0-9(),.=<>+*:]++"
+MARKS = ["BEGIN", "END", *BLOCK_WORDS, *GUARD_WORDS]
+INITIALS = "".join(sorted({w[0] for w in MARKS}))
+BLOCK_WORD = rf"(?=[{INITIALS}{INITIALS.lower()}])(?i:{'|'.join(MARKS)})(?![A-Za-z0-9_])"
+PLAIN_RUN = rf"(?:(?!{BLOCK_WORD}){WORD}|[\s0-9(),.=<>+*:]++)++"
 TEXT_RUN = r"[^'\"`$;/-]++"
 ANY = r"(?s:.)"
 
 
-def _token_pattern(rules: dict) -> str:
-    parts = [LINE_COMMENT, BLOCK_COMMENT, QUOTED]
+def _silence(rules: dict) -> str:
+    """Pattern of the spaces and comments before a token."""
+    line = rf"(?!{TERMINATOR_DIRECTIVE}){LINE_COMMENT}" if rules.get("directives") else LINE_COMMENT
+    parts = [r"\s++", line, BLOCK_COMMENT]
     if rules.get("slash_comments"):
         parts.append(SLASH_COMMENT)
+    return "(?:" + "|".join(parts) + ")*+"
+
+
+def _token(rules: dict) -> str:
+    """Pattern of one token. Words count by themselves only where blocks do."""
+    parts = [TOLD] if rules.get("directives") else []
+    parts.append(QUOTED)
     if rules.get("dollar_quotes"):
         parts.append(DOLLAR_QUOTED)
-    # Words matter only where blocks or other terminators do.
-    parts += [WORD, PLAIN_RUN] if rules.get("blocks") else [TEXT_RUN]
+    parts += [BLOCK_WORD, PLAIN_RUN] if rules.get("blocks") else [TEXT_RUN]
     return "|".join([*parts, ANY])
 
 
-def _depth_change(word: Column, path: str) -> Column:
-    """How a token changes the block depth; null words are other tokens."""
+def _depth_change(path: str) -> Column:
+    """How a token changes the block depth."""
     order = W.partitionBy(path).orderBy("pos")
+    # Cheaper than upper(), which follows the rules of every script.
+    word = F.translate("token", ascii_lowercase, ascii_uppercase)
+
+    def near(n: int) -> Column:
+        return F.lag(word, -n).over(order) if n < 0 else F.lead(word, n).over(order)
 
-    def nth(n: int) -> Column:
-        step = "lag" if n < 0 else "lead"
-        return F.expr(f"{step}(word, {abs(n)}) IGNORE NULLS OVER (PARTITION BY {path} ORDER BY pos)")
-
-    before = F.last("token_text", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1))
-    after_end = holds(F.upper(before) == "END")
-    prev, prev2 = nth(-1), nth(-2)
-    row_begin = holds(prev == "ROW") & prev2.isNotNull() & ~holds(prev2 == "EACH")
-    guard = holds(nth(1) == "EXISTS") | (holds(nth(1) == "NOT") & holds(nth(2) == "EXISTS"))
-    ddl = holds(prev.isin("CREATE", "DROP")) | holds(prev2.isin("CREATE", "DROP"))
-    ddl = ddl | holds(nth(-3).isin("CREATE", "DROP"))
+    row_begin = holds(near(-1) == "ROW") & near(-2).isNotNull() & ~holds(near(-2) == "EACH")
+    guard = holds(near(1) == "EXISTS") | (holds(near(1) == "NOT") & holds(near(2) == "EXISTS"))
+    ddl = holds(near(-1).isin("CREATE", "DROP")) | holds(near(-2).isin("CREATE", "DROP"))
     opens = ((word == "BEGIN") & ~row_begin) | word.isin(BLOCK_WORDS)
-    opens = opens & ~((word == "IF") & guard & ddl) & ~after_end
-    closes = (word == "END") & ~holds(prev == "ROW")
-    return F.when(holds(opens), 1).when(holds(closes), -1).otherwise(0)
+    opens = opens & ~((word == "IF") & guard & ddl) & ~holds(near(-1) == "END")
+    closes = (word == "END") & ~holds(near(-1) == "ROW")
+    return F.when(opens, 1).when(closes, -1).otherwise(0)
 
 
 def split_statements(scripts: DataFrame, dialect: str = "plain", path: str = "path") -> DataFrame:
     """One row ``(path, stmt_no, sql)`` per statement of each script.
 
-    Scripts become tokens and running windows along each script find the
-    terminator in force, the block depth and the number of the statement. A
-    terminator ends a statement outside blocks only. A statement runs from its
-    first to its last token that is not a comment; comments inside it stay.
+    Scripts become tokens, each with the spaces and comments before it. Running
+    windows along a script find the terminator in force, the block depth and
+    the number of the statement. A terminator is one character and ends a
+    statement outside blocks only. Comments inside a statement stay, comments
+    before it go. ``path`` is unique.
     """
     rules = DIALECTS[dialect]
-    blocks, directives = rules.get("blocks", False), rules.get("directives", False)
-    tokens = scripts.select(
-        path, F.posexplode(F.regexp_extract_all("text", F.lit(_token_pattern(rules)), F.lit(0))).alias("pos", "token")
-    )
-    token = F.col("token")
-    comment = F.startswith(token, F.lit("--")) | (
-        F.startswith(token, F.lit("/*")) & (F.length(token) > 1)
-    )
-    if rules.get("slash_comments"):
-        comment = comment | F.startswith(token, F.lit("//"))
-    silent = comment | (F.trim(F.regexp_replace(token, r"\s+", " ")) == "")
-    tokens = tokens.withColumn("token_text", F.when(~silent, token))
+    silence = _silence(rules)
+    found = F.regexp_extract_all("text", F.lit(rf"{silence}(?:{_token(rules)}|\z)"), F.lit(0))
+    # Whole scripts move, not the many tokens; the windows find them in place.
+    # The number of tasks is fixed: scripts are small before they become tokens.
+    tasks = int(scripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokens = scripts.repartition(tasks, path).select(path, F.posexplode(found).alias("pos", "text"))
+    token = F.rtrim(F.regexp_extract("text", rf"^{silence}((?s:.*))", 1))
+    tokens = tokens.withColumn("token", token)
 
     order = W.partitionBy(path).orderBy("pos")
     to_here = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     to_previous = order.rowsBetween(W.unboundedPreceding, -1)
+    directive = F.lit(False)
     terminator: Column = F.lit(";")
-    if directives:
-        told = F.when(
-            F.startswith(token, F.lit(TERMINATOR_DIRECTIVE)),
-            F.trim(F.substring(token, F.lit(len(TERMINATOR_DIRECTIVE) + 1), F.length(token))),
-        )
-        terminator = F.coalesce(F.last(told, ignorenulls=True).over(to_here), F.lit(";"))
-    at_end = F.col("token_text") == terminator
-    if blocks:
-        tokens = tokens.withColumn("word", F.when(token.rlike(f"^{WORD}$"), F.upper(token)))
-        tokens = tokens.withColumn("change", _depth_change(F.col("word"), path))
+    if rules.get("directives"):
+        directive = F.startswith("token", F.lit(TERMINATOR_DIRECTIVE))
+        told = F.trim(F.substring("token", F.lit(len(TERMINATOR_DIRECTIVE) + 1), F.length("token")))
+        last = F.last(F.when(directive, told), ignorenulls=True).over(to_here)
+        terminator = F.coalesce(last, F.lit(";"))
+    ends = F.col("token") == terminator
+    if rules.get("blocks"):
+        tokens = tokens.withColumn("change", _depth_change(path))
         tokens = tokens.withColumn("depth", F.sum("change").over(to_here))
         # A stray END does not count: depth is measured from its lowest point.
-        floor = F.least(F.lit(0), F.min("depth").over(to_here))
-        at_end = at_end & (F.col("depth") == floor)
-    tokens = tokens.withColumn("ends", holds(at_end))
-    # Terminators with nothing before them do not number a statement.
-    after_text = F.last(
-        F.when(F.col("token_text").isNotNull(), ~F.col("ends")), ignorenulls=True
-    ).over(to_previous)
-    tokens = tokens.withColumn("closes", F.col("ends") & holds(after_text))
-    number = F.coalesce(F.sum(F.col("closes").cast("int")).over(to_previous), F.lit(0)) + 1
-    kept = tokens.withColumn("stmt_no", number.cast("int")).filter(~F.col("ends"))
-
-    said = F.when(F.col("token_text").isNotNull(), F.col("pos"))
-    grouped = kept.groupBy(path, "stmt_no").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("parts"),
-        F.min(said).alias("low"),
-        F.max(said).alias("high"),
-    )
-    body = F.filter(F.col("parts"), lambda t: t["pos"].between(F.col("low"), F.col("high")))
-    sql = F.trim(F.array_join(F.transform(body, lambda t: t["token"]), ""), F.lit(" \t\r\n"))
-    return grouped.filter("low IS NOT NULL").select(path, "stmt_no", sql.alias("sql"))
+        ends = ends & (F.col("depth") == F.least(F.lit(0), F.min("depth").over(to_here)))
+    # Directives and empty tokens, the silence at the end, belong to no statement.
+    tokens = tokens.withColumn("kept", ~directive & (F.col("token") != ""))
+    tokens = tokens.withColumn("ends", ends).filter("kept")
+    # A terminator with nothing before it does not number a statement.
+    closes = F.col("ends") & ~F.lag("ends", 1, True).over(order)
+    tokens = tokens.withColumn("closes", closes.cast("int"))
+    number = F.coalesce(F.sum("closes").over(to_previous), F.lit(0)) + 1
+    texts = tokens.withColumn("stmt_no", number.cast("int")).filter("NOT ends")
+    parts = F.array_sort(F.collect_list(F.struct("pos", "text")))
+    joined = F.array_join(F.transform(parts, lambda t: t["text"]), "")
+    sql = F.trim(F.regexp_replace(joined, f"^{silence}", ""), F.lit(" \t\r\n"))
+    return texts.groupBy(path, "stmt_no").agg(sql.alias("sql"))
 
 
 def _bare(sql: Column) -> Column:
     """Statement without quoted text and comments."""
-    pattern = "|".join([LINE_COMMENT, BLOCK_COMMENT, r"'[^']*+'|\"[^\"]*+\"|`[^`]*+`", DOLLAR_QUOTED])
+    pattern = "|".join([LINE_COMMENT, BLOCK_COMMENT, QUOTED, DOLLAR_QUOTED])
     return F.regexp_replace(sql, pattern, " ")
 
 

@@ -11,6 +11,7 @@ from tidemark.functions.macros import holds
 from tidemark.operators.history import HISTORY_COLUMNS, HISTORY_SCHEMA
 from tidemark.operators.sequences import next_position
 from tidemark.plans.snapshots import Table, read_or_empty, read_snapshot, write_snapshot
+from tidemark.session import save
 
 COMMITS = T.StructType().add("batch", T.LongType())
 EDITED = ["description", "type", "checksum"]
@@ -31,13 +32,14 @@ def apply_mutations(state: DataFrame, mutations: DataFrame) -> DataFrame:
     old = state.select(*HISTORY_COLUMNS, F.lit(-1).cast("long").alias("seq"))
     new = mutations.filter("op = 'insert'").select(*HISTORY_COLUMNS, "seq")
     new = new.groupBy(rank).agg(F.min_by(F.struct(*new.columns), "seq").alias("r")).select("r.*")
-    rows = old.unionByName(new.join(old.select(rank), rank, "left_anti"))
+    rows = save(old.unionByName(new.join(old.select(rank), rank, "left_anti")), "mutations")
 
     # Every state a row goes through: as inserted, and after each update.
     begun = rows.select(rank, "success", F.col("seq").alias("begin"))
     first = rows.select(rank, "seq", *EDITED)
     updates = mutations.filter("op = 'update'").select(rank, "seq", *EDITED)
     states = first.unionByName(updates).join(begun, rank).filter("seq >= begin")
+    states = save(states, "mutations")
     latest = states.groupBy(rank).agg(F.max_by(F.struct(*EDITED), "seq").alias("now"))
 
     deletes = mutations.filter("op = 'delete_failed'")
