@@ -5,10 +5,9 @@ Everything here is a native expression, so it stays inside generated code.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Quote character and the text that replaces a quote inside a
 # name. None means that the dialect does not escape.
@@ -112,12 +111,12 @@ def unescape_sql_string(s: Column | str) -> Column:
 def split_args(s: Column | str) -> Column:
     """Split on the commas outside single quotes and trim the parts.
 
-    One forward pass over the text: each match is the start or a comma,
-    followed by quoted runs and plain runs. A lone quote is an ordinary
-    character.
+    One forward pass over the text: each match is a comma, the first one put
+    before the text, followed by quoted runs and plain runs. A lone quote is an
+    ordinary character.
     """
-    pattern = r"(^|,)((?:'[^']*+'|[^',]++|')*+)"
-    parts = F.regexp_extract_all(_col(s), F.lit(pattern), F.lit(2))
+    pattern = r",((?:'[^']*+'|[^',]++|')*+)"
+    parts = F.regexp_extract_all(F.concat(F.lit(","), _col(s)), F.lit(pattern), F.lit(1))
     return F.transform(parts, lambda p: F.trim(p))
 
 
@@ -133,6 +132,14 @@ def iso_timestamp(s: Column | str) -> Column:
     return F.to_timestamp(_col(s))
 
 
-def all_equal(pairs: list[tuple[Column, Column]]) -> Column:
-    """Null-safe equality of every pair."""
-    return reduce(lambda a, b: a & b, [left.eqNullSafe(right) for left, right in pairs])
+def cast_or_null(value: Column, source: T.DataType, target: str) -> Column:
+    """Cast that gives null for a value that does not fit.
+
+    A failed cast of text costs an exception per row. No text with a letter,
+    a point or nothing but spaces is a whole number, so these never get there.
+    """
+    cast = value.try_cast(target)
+    whole = target.lower() in ("tinyint", "smallint", "int", "integer", "bigint", "long")
+    if not (whole and isinstance(source, T.StringType)):
+        return cast
+    return F.when(value.rlike(r"[0-9]") & ~value.rlike(r"[A-Za-z.]"), cast)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ MANIFEST_SCHEMA = (
     .add("table_name", T.StringType())
     .add("path", T.StringType())
     .add("ts", T.StringType())
+    .add("columns", T.StringType())
 )
 
 
@@ -59,7 +61,7 @@ def write_snapshot(spark: SparkSession, root: str, number: int, tables: dict[str
             else:
                 write_day_partitioned(table.rows, path, table.ts)
             written += 1
-        listed.append((name, path, table.ts))
+        listed.append((name, path, table.ts, table.rows.schema.json()))
     manifest = spark.createDataFrame(listed, MANIFEST_SCHEMA).coalesce(1)
     manifest.write.mode("overwrite").parquet(f"{root}/manifests/{number}")
     return written
@@ -69,7 +71,8 @@ def read_snapshot(spark: SparkSession, root: str, number: int) -> dict[str, Tabl
     """Tables of a committed snapshot; the manifest is one row per table."""
     manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifests/{number}")
     tables = {}
-    for name, path, ts in manifest.collect():
-        rows = spark.read.parquet(path)
-        tables[name] = Table(rows if ts is None else rows.drop("day"), ts, path)
+    for name, path, ts, columns in manifest.collect():
+        schema = T.StructType.fromJson(json.loads(columns))
+        rows = spark.read.schema(schema).parquet(path)
+        tables[name] = Table(rows.select(*schema.fieldNames()), ts, path)
     return tables

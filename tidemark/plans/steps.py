@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import cast_or_null
 from tidemark.plans.snapshots import Table
 
 Tables = dict[str, Table]
@@ -141,12 +142,15 @@ def retyped(df: DataFrame, column: str, data_type: str, on_error: str = "fail")
     if on_error not in ("fail", "null"):
         raise ValueError("on_error is fail or null")
     old = F.col(column)
-    return df.withColumn(column, old.cast(data_type) if on_error == "fail" else old.try_cast(data_type))
+    if on_error == "fail":
+        return df.withColumn(column, old.cast(data_type))
+    return df.withColumn(column, cast_or_null(old, df.schema[column].dataType, data_type))
 
 
 def lost_values(df: DataFrame, column: str, data_type: str) -> DataFrame:
     """How many values would become null."""
-    lost = F.col(column).isNotNull() & F.col(column).try_cast(data_type).isNull()
+    old = F.col(column)
+    lost = old.isNotNull() & cast_or_null(old, df.schema[column].dataType, data_type).isNull()
     return df.agg(F.count_if(lost).alias("n_lost"))
 
 
