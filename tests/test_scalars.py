@@ -147,10 +147,10 @@ def test_checksum(spark):
 def test_read_scripts(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "V1__x.sql").write_text("SELECT 1;\nSELECT 2;\n")
-    (tmp_path / "a" / "V2__y.sql").write_text("")
+    (tmp_path / "a" / "V2__y.sql").write_text("-- none")
     (tmp_path / "notes.txt").write_text("no")
     got = {r["path"].split("/")[-1]: r["text"] for r in scripts.read_scripts(spark, str(tmp_path)).collect()}
-    assert got == {"V1__x.sql": "SELECT 1;\nSELECT 2;\n", "V2__y.sql": ""}
+    assert got == {"V1__x.sql": "SELECT 1;\nSELECT 2;\n", "V2__y.sql": "-- none"}
 
 
 def test_changed_scripts(spark):

@@ -34,8 +34,9 @@ CLEAN_ORDER = {
     "cubrid": ["TABLE"],
     "iris": ["TABLE"],
     "questdb": ["TABLE"],
+    "spark": ["VIEW", "TABLE", "FUNCTION"],
 }
-CLEAN_QUOTES = {"databricks": "backtick", "clickhouse": "backtick", "timeplus": "backtick"}
+CLEAN_QUOTES = {"spark": "spark", "databricks": "backtick", "clickhouse": "backtick", "timeplus": "backtick"}
 CLEAN_SUFFIX = {"duckdb": " CASCADE"}
 
 

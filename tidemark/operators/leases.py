@@ -86,6 +86,8 @@ def lease_grants(
     with ``release`` frees the key if its holder holds it. Rows of a key are
     taken in the order of ``ts`` and then the unique ``order``.
 
+    Rows without a key or a holder are left out.
+
     Keys with few rows are replayed in one task each. Keys with more rows than
     ``max_group_rows`` are solved by joins, see ``_grants_by_jumps``.
     """
@@ -95,7 +97,7 @@ def lease_grants(
         F.col(order),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("at"),
         F.col(release).alias("is_release"),
-    ).filter(F.col(key).isNotNull())
+    ).filter(F.col(key).isNotNull() & F.col(holder).isNotNull())
     ttl = ttl_seconds * MICROS
     big = rows.groupBy(key).count().filter(F.col("count") > max_group_rows).select(key)
     if big.isEmpty():

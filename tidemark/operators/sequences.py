@@ -48,9 +48,9 @@ def next_position(
 ) -> DataFrame:
     """Add the least non-null ``value`` of the later rows with the same keys.
 
-    ``value`` must grow with the dense number ``pos``. A key is cut into blocks
-    of numbers: a window looks ahead inside a block, and one row per key and
-    block carries the answer from the blocks after it.
+    ``value`` must grow with the number ``pos``, and ``keys`` are not null. A
+    key is cut into blocks of numbers: a window looks ahead inside a block, and
+    one row per key and block carries the answer from the blocks after it.
     """
     marked = df.withColumns({"_value": value, "_block": F.shiftright(F.col(pos), block_bits)})
     ahead = W.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(1, W.unboundedFollowing)

@@ -12,7 +12,7 @@ PLACEHOLDER = r"\$\{[^}]+\}"
 
 
 def read_scripts(spark: SparkSession, folder: str, glob: str = "*.sql") -> DataFrame:
-    """One row ``(path, text)`` per file below a folder."""
+    """One row ``(path, text)`` per file below a folder; an empty file has none."""
     files = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 

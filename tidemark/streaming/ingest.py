@@ -23,16 +23,21 @@ def ingest_stream(
     ts: str,
     keys: list[str] | None = None,
     lag: str = "10 minutes",
+    files_per_day: int = 8,
 ) -> StreamingQuery:
     """Append a stream into day partitions until the source has no more.
 
     Rows land in the partition of their own day in whatever order they come.
     Without ``keys`` there is no state and every late row is kept; with
-    ``keys`` repeats within the lag are dropped.
+    ``keys`` repeats within the lag are dropped. A trigger writes at most
+    ``files_per_day`` files into a day, and that many tasks share a big day.
     """
     rows = stream if keys is None else without_repeats(stream, ts, keys, lag)
+    share = F.pmod(F.hash(F.col(ts), F.spark_partition_id()), F.lit(files_per_day))
     return (
-        rows.withColumn("day", F.to_date(F.col(ts)))
+        rows.withColumns({"day": F.to_date(F.col(ts)), "_share": share})
+        .repartition("day", "_share")
+        .drop("_share")
         .writeStream.format("parquet")
         .partitionBy("day")
         .option("checkpointLocation", checkpoint)
