@@ -53,8 +53,11 @@ def next_position(
     one row per key and block carries the answer from the blocks after it.
     """
     marked = df.withColumns({"_value": value, "_block": F.shiftright(F.col(pos), block_bits)})
-    ahead = W.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(1, W.unboundedFollowing)
-    later = W.partitionBy(*keys).orderBy("_block").rowsBetween(1, W.unboundedFollowing)
+    # From the end back to the row before: such a frame only grows, so it costs
+    # one step per row. One that looks ahead is computed anew for every row.
+    so_far = (W.unboundedPreceding, -1)
+    ahead = W.partitionBy(*keys, "_block").orderBy(F.desc(pos)).rowsBetween(*so_far)
+    later = W.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(*so_far)
     firsts = marked.groupBy(*keys, "_block").agg(F.min("_value").alias("_first"))
     carried = firsts.withColumn("_carry", F.min("_first").over(later)).drop("_first")
     return (

@@ -24,7 +24,7 @@ DDL_WORDS = ["CREATE", "ALTER", "DROP"]
 GUARD_WORDS = ["ROW", "EACH", "CREATE", "DROP", "NOT", "EXISTS"]
 TERMINATOR_DIRECTIVE = "--#SET TERMINATOR "
 
-# Patterns of tokens. Every repetition is possessive: one pass, no recursion.
+# Patterns of script text. Every repetition is possessive: one pass, no recursion.
 TOLD = TERMINATOR_DIRECTIVE + r"[^\r\n]*+"
 LINE_COMMENT = r"--[^\r\n]*+"
 SLASH_COMMENT = r"//[^\r\n]*+"
@@ -35,66 +35,78 @@ WORD = r"[A-Za-z_][A-Za-z0-9_]*+"
 MARKS = ["BEGIN", "END", *BLOCK_WORDS, *GUARD_WORDS]
 INITIALS = "".join(sorted({w[0] for w in MARKS}))
 BLOCK_WORD = rf"(?=[{INITIALS}{INITIALS.lower()}])(?i:{'|'.join(MARKS)})(?![A-Za-z0-9_])"
-PLAIN_RUN = rf"(?:(?!{BLOCK_WORD}){WORD}|[\s0-9(),.=<>+*:]++)++"
+PLAIN_RUN = r"[0-9(),.=<>+*:]++"
 TEXT_RUN = r"[^'\"`$;/-]++"
 ANY = r"(?s:.)"
+END = r"\z"
 
 
-def _silence(rules: dict) -> str:
-    """Pattern of the spaces and comments before a token."""
+def _patterns(rules: dict) -> tuple[str, str, str]:
+    """Patterns of silence (spaces, comments), of text and of what ends text.
+
+    Text ends at a mark: a character that may be the terminator, a word that
+    may change the block depth, a directive, or the end of the script.
+    """
     line = rf"(?!{TERMINATOR_DIRECTIVE}){LINE_COMMENT}" if rules.get("directives") else LINE_COMMENT
-    parts = [r"\s++", line, BLOCK_COMMENT]
+    silent = [r"\s++", line, BLOCK_COMMENT]
     if rules.get("slash_comments"):
-        parts.append(SLASH_COMMENT)
-    return "(?:" + "|".join(parts) + ")*+"
-
-
-def _token(rules: dict) -> str:
-    """Pattern of one token. Words count by themselves only where blocks do."""
-    parts = [TOLD] if rules.get("directives") else []
-    parts.append(QUOTED)
+        silent.append(SLASH_COMMENT)
+    text = [*silent, QUOTED]
     if rules.get("dollar_quotes"):
-        parts.append(DOLLAR_QUOTED)
-    parts += [BLOCK_WORD, PLAIN_RUN] if rules.get("blocks") else [TEXT_RUN]
-    return "|".join([*parts, ANY])
+        text.append(DOLLAR_QUOTED)
+    if rules.get("blocks"):
+        text += [f"(?!{BLOCK_WORD}){WORD}", PLAIN_RUN]
+        mark = [TOLD, BLOCK_WORD, ANY, END]
+    else:
+        text += [TEXT_RUN, "[^;]"]
+        mark = [";", END]
+    return f"(?:{'|'.join(silent)})*+", f"(?:{'|'.join(text)})*+", f"(?:{'|'.join(mark)})"
 
 
 def _depth_change(path: str) -> Column:
-    """How a token changes the block depth."""
-    order = W.partitionBy(path).orderBy("pos")
-    # Cheaper than upper(), which follows the rules of every script.
-    word = F.translate("token", ascii_lowercase, ascii_uppercase)
-
-    def near(n: int) -> Column:
-        return F.lag(word, -n).over(order) if n < 0 else F.lead(word, n).over(order)
+    """How a mark changes the block depth.
 
-    row_begin = holds(near(-1) == "ROW") & near(-2).isNotNull() & ~holds(near(-2) == "EACH")
-    guard = holds(near(1) == "EXISTS") | (holds(near(1) == "NOT") & holds(near(2) == "EXISTS"))
-    ddl = holds(near(-1).isin("CREATE", "DROP")) | holds(near(-2).isin("CREATE", "DROP"))
+    ``alone`` tells that only silence separates a mark from the one before.
+    """
+    order = W.partitionBy(path).orderBy("pos")
+    # Cheaper than upper(), which follows the rules of every language.
+    word = F.translate("mark", ascii_lowercase, ascii_uppercase)
+    before, before2 = F.lag(word, 1).over(order), F.lag(word, 2).over(order)
+    after, after2 = F.lead(word, 1).over(order), F.lead(word, 2).over(order)
+    close, close2 = F.lead("alone", 1).over(order), F.lead("alone", 2).over(order)
+
+    row = F.col("alone") & holds(before == "ROW")
+    row_begin = row & before2.isNotNull() & ~holds(before2 == "EACH")
+    guard = holds((after == "EXISTS") & close)
+    guard = guard | holds((after == "NOT") & close & (after2 == "EXISTS") & close2)
+    ddl = holds(before.isin("CREATE", "DROP"))
     opens = ((word == "BEGIN") & ~row_begin) | word.isin(BLOCK_WORDS)
-    opens = opens & ~((word == "IF") & guard & ddl) & ~holds(near(-1) == "END")
-    closes = (word == "END") & ~holds(near(-1) == "ROW")
+    opens = opens & ~((word == "IF") & guard & ddl) & ~(F.col("alone") & holds(before == "END"))
+    closes = (word == "END") & ~row
     return F.when(opens, 1).when(closes, -1).otherwise(0)
 
 
 def split_statements(scripts: DataFrame, dialect: str = "plain", path: str = "path") -> DataFrame:
     """One row ``(path, stmt_no, sql)`` per statement of each script.
 
-    Scripts become tokens, each with the spaces and comments before it. Running
-    windows along a script find the terminator in force, the block depth and
-    the number of the statement. A terminator is one character and ends a
-    statement outside blocks only. Comments inside a statement stay, comments
-    before it go. ``path`` is unique.
+    A script is cut at its marks, see ``_patterns``; everything else travels
+    with the mark after it. Running windows along a script find the terminator
+    in force, the block depth and the number of the statement. A terminator is
+    one character and ends a statement outside blocks only. Comments inside a
+    statement stay, comments before it go. ``path`` is unique.
     """
     rules = DIALECTS[dialect]
-    silence = _silence(rules)
-    found = F.regexp_extract_all("text", F.lit(rf"{silence}(?:{_token(rules)}|\z)"), F.lit(0))
-    # Whole scripts move, not the many tokens; the windows find them in place.
-    # The number of tasks is fixed: scripts are small before they become tokens.
+    silence, text, mark = _patterns(rules)
+    found = F.regexp_extract_all("text", F.lit(text + mark), F.lit(0))
+    # Whole scripts move, not their many pieces; the windows find them in place.
+    # The number of tasks is fixed: scripts are small before they are cut.
     tasks = int(scripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tokens = scripts.repartition(tasks, path).select(path, F.posexplode(found).alias("pos", "text"))
-    token = F.rtrim(F.regexp_extract("text", rf"^{silence}((?s:.*))", 1))
-    tokens = tokens.withColumn("token", token)
+    pieces = scripts.repartition(tasks, path).select(path, F.posexplode(found).alias("pos", "piece"))
+    # The tag of dollar quotes is a group of its own, before that of the mark.
+    group = 2 if rules.get("dollar_quotes") else 1
+    pieces = pieces.withColumn("mark", F.regexp_extract("piece", rf"^{text}({mark})\z", group))
+    before_mark = F.substring("piece", F.lit(1), F.length("piece") - F.length("mark"))
+    pieces = pieces.withColumn("alone", before_mark.rlike(rf"^{silence}\z"))
 
     order = W.partitionBy(path).orderBy("pos")
     to_here = order.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -102,26 +114,27 @@ def split_statements(scripts: DataFrame, dialect: str = "plain", path: str = "pa
     directive = F.lit(False)
     terminator: Column = F.lit(";")
     if rules.get("directives"):
-        directive = F.startswith("token", F.lit(TERMINATOR_DIRECTIVE))
-        told = F.trim(F.substring("token", F.lit(len(TERMINATOR_DIRECTIVE) + 1), F.length("token")))
+        directive = F.startswith("mark", F.lit(TERMINATOR_DIRECTIVE))
+        told = F.trim(F.substring("mark", F.lit(len(TERMINATOR_DIRECTIVE) + 1), F.length("mark")))
         last = F.last(F.when(directive, told), ignorenulls=True).over(to_here)
         terminator = F.coalesce(last, F.lit(";"))
-    ends = F.col("token") == terminator
+    ends = F.col("mark") == terminator
     if rules.get("blocks"):
-        tokens = tokens.withColumn("change", _depth_change(path))
-        tokens = tokens.withColumn("depth", F.sum("change").over(to_here))
+        pieces = pieces.withColumn("change", _depth_change(path))
+        pieces = pieces.withColumn("depth", F.sum("change").over(to_here))
         # A stray END does not count: depth is measured from its lowest point.
         ends = ends & (F.col("depth") == F.least(F.lit(0), F.min("depth").over(to_here)))
-    # Directives and empty tokens, the silence at the end, belong to no statement.
-    tokens = tokens.withColumn("kept", ~directive & (F.col("token") != ""))
-    tokens = tokens.withColumn("ends", ends).filter("kept")
+    pieces = pieces.withColumns({"ends": ends, "says": ~directive & (F.col("mark") != "")})
+    pieces = pieces.filter("NOT alone OR says")
     # A terminator with nothing before it does not number a statement.
-    closes = F.col("ends") & ~F.lag("ends", 1, True).over(order)
-    tokens = tokens.withColumn("closes", closes.cast("int"))
+    closes = F.col("ends") & ~(F.col("alone") & F.lag("ends", 1, True).over(order))
+    pieces = pieces.withColumn("closes", closes.cast("int"))
     number = F.coalesce(F.sum("closes").over(to_previous), F.lit(0)) + 1
-    texts = tokens.withColumn("stmt_no", number.cast("int")).filter("NOT ends")
-    parts = F.array_sort(F.collect_list(F.struct("pos", "text")))
-    joined = F.array_join(F.transform(parts, lambda t: t["text"]), "")
+    body = F.when(F.col("ends") | ~F.col("says"), before_mark).otherwise(F.col("piece"))
+    texts = pieces.select(path, "pos", number.cast("int").alias("stmt_no"), "closes", "ends", body.alias("body"))
+    texts = texts.filter("closes = 1 OR NOT ends")
+    parts = F.array_sort(F.collect_list(F.struct("pos", "body")))
+    joined = F.array_join(F.transform(parts, lambda t: t["body"]), "")
     sql = F.trim(F.regexp_replace(joined, f"^{silence}", ""), F.lit(" \t\r\n"))
     return texts.groupBy(path, "stmt_no").agg(sql.alias("sql"))
 
