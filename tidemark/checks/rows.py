@@ -88,7 +88,7 @@ def length_violations(g: Given) -> DataFrame:
 
 
 @CHECKS.add(
-    """SELECT *, 'left' AS side, 1 AS n_rows FROM orders WHERE o_orderstatus = 'F'
+    """SELECT *, 'left' AS side, CAST(1 AS BIGINT) AS n_rows FROM orders WHERE o_orderstatus = 'F'
     UNION ALL SELECT * REPLACE ('DONE' AS o_orderstatus), 'right', 1 FROM orders WHERE o_orderstatus = 'F'"""
 )
 def table_diff(g: Given) -> DataFrame:

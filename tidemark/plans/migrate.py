@@ -120,15 +120,18 @@ def migrate(
     by_version = {s.version: s for s in steps}
     if len(by_version) != len(steps):
         raise ValueError("two steps have the same version")
-    _check_unchanged(steps, history)
+    last, committed = history.agg(
+        F.max("installed_rank"), F.max(F.when(F.col("success"), F.col("installed_rank")))
+    ).first()
+    if last is not None:
+        _check_unchanged(steps, history)
     available = spark.createDataFrame([(s.version,) for s in steps], "version string")
     # The list of steps came from the caller; it returns in order.
     todo = [by_version[r["version"]] for r in pending(available, history, target).collect()]
-    last = history.agg(F.max("installed_rank")).first()[0] or 0
 
-    tables = current_tables(spark, root)
+    tables = {} if committed is None else read_snapshot(spark, root, committed)
     rows = []
-    for rank, one in enumerate(todo, last + 1):
+    for rank, one in enumerate(todo, (last or 0) + 1):
         started = time.monotonic()
         for change in one.changes:
             tables = change.apply(spark, tables)
