@@ -5,11 +5,12 @@ Two ideas keep the work small (set-relation skipping):
 - *Blocks.* The index list of a shingle is cut into blocks by set size and holds
   the position of the shingle in each set. Sets in blocks too far apart, or with
   too little left behind the position, are never compared.
-- *Answers of a similar set.* One set of every block, its leader, is compared
-  with all others. The answers of the others follow from those of the leader:
-  pairs that both link to it are in one component already, and two sets whose
-  distances from it differ by more than a link allows cannot link, since
-  1 - Jaccard is a metric. Only pairs that stay open are compared themselves.
+- *Answers of a similar set.* One set of every block, its leader (the one whose
+  shingles most sets have), is compared with all others. The answers of the
+  others follow from those of the leader: two sets that link to it are in one
+  component already, and two sets have in common at most what each shares with
+  the leader, plus what each has beside the leader that occurs in any other set.
+  Only pairs that this leaves open are compared themselves.
 
 Shingles are told apart by 64-bit hashes.
 """
@@ -33,7 +34,11 @@ FLUSH = 2_000_000
 
 
 def _blobs(shingles: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    """One row per bucket: which sets have shingles in it, and these shingles."""
+    """One row per bucket: which sets have shingles in it, and six bytes of these shingles.
+
+    With the number of the bucket that is more than 48 bits, and a bucket has
+    about as many shingles at every size of the input.
+    """
     sizes = np.array([len(s) for s in shingles], np.int64)
     tokens = np.concatenate(shingles)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(tokens ^ np.uint64(0x5BD1E995)), dtype=np.uint64)])
@@ -43,7 +48,7 @@ def _blobs(shingles: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     _, kept = np.unique(np.stack([signs, sizes.astype(np.uint64)]), axis=1, return_index=True)
     use = np.repeat(np.isin(np.arange(len(sizes)), kept), sizes)
     owner, tokens = np.repeat(np.arange(len(sizes)), sizes)[use], tokens[use]
-    bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+    bucket = ((tokens >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     owner, tokens, bucket = owner[order], tokens[order], bucket[order]
     starts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -53,7 +58,7 @@ def _blobs(shingles: list[np.ndarray], buckets: int) -> pa.RecordBatch:
         rows["signs"].append(signs[own].tobytes())
         rows["sizes"].append(sizes[own].astype(np.int32).tobytes())
         rows["counts"].append(counts.astype(np.int32).tobytes())
-        rows["tokens"].append(tokens[begin:end].tobytes())
+        rows["tokens"].append(tokens[begin:end].view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
     return pa.RecordBatch.from_pydict(rows, pa.schema([("bucket", pa.int32()), *((k, pa.binary()) for k in list(rows)[1:])]))
 
 
@@ -102,7 +107,10 @@ def _shared(table: pa.Table) -> pa.Table:
     ids[order] = np.cumsum(change)
     firsts = order[np.concatenate([[0], np.flatnonzero(change)])]
     owner = np.repeat(ids, _joined(table, "counts", np.int32))
-    tokens = _joined(table, "tokens", np.uint64)
+    tokens = np.zeros((len(owner), 8), np.uint8)
+    tokens[:, :6] = _joined(table, "tokens", np.uint8).reshape(-1, 6)
+    tokens[:, 6:] = np.array([table.column("bucket")[0].as_py() & 0xFFFF], np.uint16).view(np.uint8)
+    tokens = tokens.reshape(-1).view(np.uint64)
     order = np.argsort(tokens)
     sorted_tokens = tokens[order]
     same = np.diff(sorted_tokens) == 0
@@ -147,9 +155,11 @@ def _sets(table: pa.Table, percent: int) -> pa.Table:
     starts = np.flatnonzero(np.concatenate([[True], (np.diff(signs) != 0) | (np.diff(sizes) != 0)]))
     ends = np.append(starts[1:], len(signs))
     keep = 100 * (ends - starts) >= percent * sizes[starts].astype(np.int64)
-    starts, ends = starts[keep], ends[keep]
+    weight = np.add.reduceat(df[order].astype(np.float64), starts) / sizes[starts]
+    starts, ends, weight = starts[keep], ends[keep], weight[keep]
     return pa.table(
         {
+            "weight": pa.array(weight, pa.float64()),
             "sign": pa.array(signs[starts].view(np.int64), pa.int64()),
             "n": pa.array(sizes[starts], pa.int32()),
             "tokens": pa.array([tokens[b:e] for b, e in zip(starts.tolist(), ends.tolist())], pa.list_(pa.int64())),
@@ -166,7 +176,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs.join(one, "a").join(two, "b")
         .select("a", "b", both.alias("both"), (F.col("n_a").cast("long") + F.col("n_b")).alias("n"))
         .select(
-            "a", "b", (1 - F.col("both") / (F.col("n") - F.col("both"))).alias("distance"),
+            "a", "b", "both",
             (100 * F.col("both") >= percent * (F.col("n") - F.col("both"))).alias("linked"),
         )
     )
@@ -208,8 +218,8 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
     shared = postings.withColumn("groups", F.lit(parts)).groupBy("bucket").applyInArrow(
         _shared, "part int, signs binary, sizes binary, counts binary, tokens binary, df binary"
     )
-    sets = shared.groupBy("part").applyInArrow(lambda t: _sets(t, percent), "sign long, n int, tokens array<long>")
-    sets = save(sets.join(ids, ["sign", "n"]).select("id", "n", "tokens"), "sets")
+    sets = shared.groupBy("part").applyInArrow(lambda t: _sets(t, percent), "weight double, sign long, n int, tokens array<long>")
+    sets = save(sets.join(ids, ["sign", "n"]).select("id", "n", "weight", "tokens"), "sets")
 
     # Any two sets that link share one of their first n - ceil(n * percent) + 1 shingles; those that
     # no other set has come first and are known to be n minus the number that is left.
@@ -217,11 +227,11 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
     block = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
     entries = (
         sets.where(first > 0)
-        .select("id", "n", block.alias("own"), (F.col("n") - F.size("tokens")).alias("before"), F.posexplode(F.slice("tokens", 1, first)).alias("k", "token"))
-        .select("id", "n", "token", "own", (F.col("before") + F.col("k")).alias("pos"), F.explode(F.array("own", F.col("own") - 1)).alias("block"))
+        .select("id", "n", "weight", F.size("tokens").alias("shared"), block.alias("own"), (F.col("n") - F.size("tokens")).alias("before"), F.posexplode(F.slice("tokens", 1, first)).alias("k", "token"))
+        .select("id", "n", "weight", "shared", "token", "own", (F.col("before") + F.col("k")).alias("pos"), F.explode(F.array("own", F.col("own") - 1)).alias("block"))
     )
     counted = entries.groupBy("token", "block").agg(
-        F.min(F.struct(F.xxhash64("id").alias("p"), F.col("id").alias("leader"), F.col("n").alias("leader_n"))).alias("lead"),
+        F.max(F.struct("weight", F.col("id").alias("leader"), F.col("n").alias("leader_n"))).alias("lead"),
         F.count("*").alias("rows"), F.max((F.col("own") == F.col("block")).cast("int")).alias("home"),
     ).where("rows > 1 and home = 1").select("token", "block", "lead.leader", "lead.leader_n")
     lists = save(entries.join(counted, ["token", "block"]), "lists")
@@ -237,20 +247,23 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
     own = save(own, "entries")
     mixed = own.groupBy("token", "block").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     rows = own.join(mixed.select("token", "block"), ["token", "block"], "left_semi")
-    rows = rows.select("*", *pair).join(known.select("a", "b", "distance"), ["a", "b"], "left").drop("a", "b")
-    rows = save(rows.withColumn("distance", F.when(F.col("leader") == F.col("id"), 0.0).otherwise(F.col("distance"))), "open")
+    rows = rows.select("*", *pair).join(known.select("a", "b", "both"), ["a", "b"], "left").drop("a", "b")
+    rows = save(rows.withColumn("both", F.when(F.col("leader") == F.col("id"), F.col("shared")).otherwise(F.col("both"))), "open")
     main = rows.where("leader = id").select("token", "block", F.col("component").alias("main"))
     minor = rows.join(main, ["token", "block"]).where("component <> main")
-    side = lambda df, s: df.select("token", "block", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "own", "pos", "component", "distance")))
+    # Two sets have in common at most what the leader has with either, and of the rest what they share with any set.
+    most = "least(both_x, both_y) + least(shared_x - both_x, shared_y - both_y)"
+    side = lambda df, s: df.select("token", "block", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "own", "pos", "component", "shared", "both")))
     rest = (
         side(minor, "x").join(side(rows, "y"), ["token", "block"])
         .where("component_x <> component_y and (own_x = block or own_y = block)")
         .where(_fits(percent, "n_x", "n_y"))
         .where(F.expr(f"{100 + percent} * (1L + least(n_x - pos_x, n_y - pos_y) - 1) >= {percent}L * (n_x + n_y)"))
-        .where(f"coalesce(abs(distance_x - distance_y) <= {1 - percent / 100} + 1e-9, true)")
+        .where(F.expr(f"coalesce({100 + percent} * ({most}) >= {percent}L * (n_x + n_y), true)"))
         .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
         .join(known.select("a", "b"), ["a", "b"], "left_anti")
     )
+    rest = save(rest, "rest")
     more = _links(rest, sets, percent).where("linked").select(F.col("a"), F.col("b"))
     comps = save(components(known.where("linked").select("a", "b").union(more)), "components")
 
