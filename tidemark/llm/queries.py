@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import contamination, exact, lines, shards
 from tidemark.llm.jaccard import linked_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +26,32 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @_query
 def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return linked_components(_table(spark, folder, "documents"))
+
+
+@_query
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.drop_repeated_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@_query
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id")
+    return shards.place(docs, F.col("doc_id"), [f"shard-{i}" for i in range(shards.SHARDS)])
+
+
+@_query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query
+def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.exact_groups(_table(spark, folder, "documents"))
+
+
+SQL |= {
+    "op2_line_dedup": lines.SQL,
+    "op3_sharding": shards.SQL,
+    "op8_decontamination": contamination.SQL,
+    "op9_exact_dedup": exact.SQL,
+}
