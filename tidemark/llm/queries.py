@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, exact, lines, shards
+from tidemark.llm import contamination, exact, html_text, language, licences, lines, pieces, quality, shards
+from tidemark.llm.samples import held_out
 from tidemark.llm.jaccard import linked_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,33 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.place(docs, F.col("doc_id"), [f"shard-{i}" for i in range(shards.SHARDS)])
 
 
+@_query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.learn(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(_table(spark, folder, "documents"), pieces.Vocabulary.load())
+
+
+@_query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Grades: 0 toxic, 1 of low quality, 2 good."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    ratings = labels.select("doc_id", F.expr("CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 ELSE 2 END").alias("grade"))
+    found = quality.grade(docs.select("doc_id", "text"), quality.learn(docs, ratings, 3))
+    return found.select("doc_id", held_out().alias("held_out"), "expected_grade", "p_top", "selected")
+
+
+@_query
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return licences.licence_paragraphs(docs, licences.learn(docs))
+
+
 @_query
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -49,6 +77,12 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents"))
 
 
+@_query
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 SQL |= {
     "op2_line_dedup": lines.SQL,
     "op3_sharding": shards.SQL,

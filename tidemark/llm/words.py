@@ -82,8 +82,14 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, lower-cased in A-Z, and where each text's words begin."""
+    hashes, begins, _ = words_and_tails(column)
+    return hashes, begins
+
+
+def words_and_tails(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``word_hashes``, and the last two bytes of every word as a number (those of one byte: that byte)."""
     data, offsets = text_bytes(column)
-    hashes, places = [], []
+    hashes, places, tails = [], [], []
     for begin, end in _pieces(data, offsets):
         part = data[begin:end]
         inside = ~SPACE[part]
@@ -101,9 +107,10 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             value = (sums[ends] - sums[starts]) * _powers_of(INVERSE, len(part))[starts]
         hashes.append(mix(value ^ (ends - starts).astype(np.uint64)))
         places.append(starts + begin)
+        tails.append(part[ends - 1].astype(np.int32) + 256 * np.where(ends - starts > 1, part[ends - 2], 0).astype(np.int32))
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int32)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets), np.concatenate(tails)
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
