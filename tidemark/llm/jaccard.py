@@ -30,7 +30,7 @@ from tidemark.llm.words import mix, shingle_sets
 from tidemark.session import save
 
 #: Shingles that a task holds before it hands them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 
 def _blobs(shingles: list[np.ndarray], buckets: int) -> pa.RecordBatch:

@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.llm.samples import held_out, some_of_each
-from tidemark.llm.words import words_and_tails
+from tidemark.llm.words import ROWS, words_and_tails
 
 BITS = 18
 #: Features: hashed words, then the last two bytes of words.
 FEATURES = (1 << BITS) + (1 << 16)
 #: The model learns from so many documents of each grade at most.
-DOCUMENTS, ROUNDS = 6000, 25
+DOCUMENTS, ROUNDS, STEPS = 6000, 25, 1500
+#: A feature gets a weight if so many of these documents have it.
+SEEN = 10
+PRESENT = 0.2
 SELECTED = 0.5
 
 
@@ -34,13 +37,20 @@ class Ordinal:
 
 
 def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Indexes and values of each text: square roots of shares, so a vector has the same length for any text."""
+    """Indexes and values of each text: ``PRESENT`` for each word it has, however long it is, and roots of shares of word ends."""
+    for at in range(0, len(column), ROWS):
+        yield from _features(column.slice(at, ROWS))
+
+
+def _features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     hashes, begins, tails = words_and_tails(column)
     words = (hashes >> np.uint64(64 - BITS)).astype(np.int32)
     ends = tails + (1 << BITS)
     for begin, end in zip(begins[:-1].tolist(), begins[1:].tolist()):
-        index, count = np.unique(np.concatenate([words[begin:end], ends[begin:end]]), return_counts=True)
-        yield index, np.sqrt(count / max(1, end - begin)).astype(np.float32)
+        own = np.unique(words[begin:end])
+        last, count = np.unique(ends[begin:end], return_counts=True)
+        share = np.sqrt(count / max(1, end - begin))
+        yield np.concatenate([own, last]), np.concatenate([np.full(len(own), PRESENT), share]).astype(np.float32)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int, seed: int = 1) -> Ordinal:
@@ -48,12 +58,14 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grade
     weights, squares = np.zeros(FEATURES, np.float32), np.full(FEATURES, 1e-6, np.float32)
     shares = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / max(1, len(grades)), 0.01, 0.99)
     thresholds = np.maximum.accumulate(np.log(shares / (1 - shares)) + 1e-3 * np.arange(n_grades - 1))
-    lengths = np.array([len(i) for i, _ in rows])
+    index, value = np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])
+    # What few rated texts have would only teach these texts by heart.
+    common = np.bincount(index, minlength=FEATURES)[index] >= SEEN
+    lengths = np.bincount(np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])[common], minlength=len(rows))
+    index, value = index[common], value[common]
     begins = np.concatenate([[0], np.cumsum(lengths)])
-    index = np.concatenate([i for i, _ in rows]) if rows else np.zeros(0, np.int32)
-    value = np.concatenate([v for _, v in rows]) if rows else np.zeros(0, np.float32)
     rng = np.random.default_rng(seed)
-    for turn in range(ROUNDS):
+    for turn in range(max(ROUNDS, STEPS * 64 // max(1, len(rows)))):
         order = rng.permutation(len(rows))
         for begin in range(0, len(order), 64):
             use = order[begin : begin + 64]
@@ -67,15 +79,10 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grade
             high = 1 / (1 + np.exp(-np.clip(edge[y + 1] - lean, -60, 60)))
             chance = np.maximum(high - low, 1e-9)
             f_low, f_high = low * (1 - low) / chance, high * (1 - high) / chance
-            slope = np.bincount(i, (f_high - f_low)[own] * v, FEATURES).astype(np.float32) if len(i) > FEATURES else None
-            if slope is None:
-                spots, at = np.unique(i, return_inverse=True)
-                g = np.bincount(at, (f_high - f_low)[own] * v).astype(np.float32) + 1e-4 * weights[spots]
-            else:
-                spots = np.flatnonzero(slope)
-                g = slope[spots] + 1e-4 * weights[spots]
+            spots, at = np.unique(i, return_inverse=True)
+            g = np.bincount(at, (f_high - f_low)[own] * v).astype(np.float32) + 1e-2 * weights[spots]
             squares[spots] += g * g
-            weights[spots] -= 0.5 * g / np.sqrt(squares[spots])
+            weights[spots] -= 0.3 * g / np.sqrt(squares[spots])
             move = np.zeros(n_grades + 1)
             np.add.at(move, y + 1, -f_high)
             np.add.at(move, y, f_low)

@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 20
+#: Texts whose words are in memory at once.
+ROWS = 512
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
@@ -119,6 +121,11 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     A text with fewer words has the whole sequence as its one run; a text
     without words has none.
     """
+    for at in range(0, len(column), ROWS):
+        yield from _shingle_sets(column.slice(at, ROWS), width)
+
+
+def _shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     hashes, begins = word_hashes(column)
     factors = mix(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
     with np.errstate(over="ignore"):
