@@ -56,8 +56,9 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = hits.groupBy("doc_id", "item").agg(F.count("*").alias("hits"), F.first("least").alias("least")).where("hits >= least")
     found = save(found.select(F.col("doc_id").alias("id"), "item"), "candidates")
 
-    ids = found.select("id").distinct()
-    near = texts.join(ids, texts.doc_id == ids.id, "left_semi")
+    ids = save(found.select("id").distinct(), "ids")
+    ids = bounded(ids, ids.count())
+    near = texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
     near = near.join(found, near.doc_id == found.id).join(items, "item")
     run = F.expr("""transform(sequence(1, greatest(1, size(words) - width + 1)), i -> array_join(slice(words, i, width), ' '))""")
     shared = near.select("doc_id", "item_id", F.col("n").alias("n_item"), F.size(F.array_intersect("shingles", run)).cast("long").alias("n_shared"))
@@ -72,8 +73,8 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item; all columns stay, and rows without doc_id."""
-    gone = contained(docs, items).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = save(contained(docs, items).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return docs.join(bounded(gone, gone.count()), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
 
 
 SQL = r"""

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.native_words import bounded
 from tidemark.llm.words import mix, shingle_sets
 from tidemark.session import save
 
@@ -281,6 +282,6 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame
     Of rows that repeat this doc_id the one with the smallest text stays, nulls
     first. Rows without doc_id stay. All columns are returned.
     """
-    found = linked_components(docs, width, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    others = docs.join(found.select(F.col("doc_id").alias("_gone")), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    return others
+    found = linked_components(docs, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    found = save(found, "gone")
+    return docs.join(bounded(found, found.count()), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame
-
-#: Rows of a narrow table that may be broadcast: about 100 MB in each executor.
-BROADCAST_ROWS = 2_000_000
+#: Rows of a narrow table that may be broadcast: about 64 MB in each executor.
+BROADCAST_ROWS = 1_000_000
 
 
 def words(text: Column | str) -> Column:
