@@ -42,7 +42,7 @@ class Checks(dict):
 def hist(g: Given) -> DataFrame:
     """One history row per event."""
     return g.events.select(
-        F.expr("CAST(event_id % 2000000000 + 1 AS INT)").alias("installed_rank"),
+        F.expr("CAST(event_id + 1 AS INT)").alias("installed_rank"),
         F.expr(
             "CASE WHEN event_id % 10 <> 0 THEN concat(month(ts), '.', day(ts)) END"
         ).alias("version"),
@@ -58,7 +58,7 @@ def hist(g: Given) -> DataFrame:
 
 
 HIST = """hist AS (
-  SELECT CAST(event_id % 2000000000 + 1 AS INTEGER) AS installed_rank,
+  SELECT CAST(event_id + 1 AS INTEGER) AS installed_rank,
     CASE WHEN event_id % 10 <> 0 THEN concat(month(ts), '.', day(ts)) END AS version,
     event_type AS description,
     CASE WHEN event_id % 97 = 0 THEN 'TABLE' ELSE 'SQL' END AS type,

@@ -77,7 +77,6 @@ def lease_grants(
     ttl_seconds: int,
     order: str,
     release: str = "release",
-    max_group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Requests that were granted the lease of their key.
 
@@ -88,8 +87,7 @@ def lease_grants(
 
     Rows without a key or a holder are left out.
 
-    Keys with few rows are replayed in one task each. Keys with more rows than
-    ``max_group_rows`` are solved by joins, see ``_grants_by_jumps``.
+    Keys of every size are solved by the same joins, see ``_grants_by_jumps``.
     """
     rows = events.select(
         F.col(key),
@@ -99,39 +97,10 @@ def lease_grants(
         F.col(release).alias("is_release"),
     ).filter(F.col(key).isNotNull() & F.col(holder).isNotNull())
     ttl = ttl_seconds * MICROS
-    big = rows.groupBy(key).count().filter(F.col("count") > max_group_rows).select(key)
-    if big.isEmpty():
-        granted = _grants_by_replay(rows, key, holder, order, ttl)
-    else:
-        small = rows.join(big, key, "left_anti")
-        large = rows.join(big, key, "left_semi")
-        granted = _grants_by_replay(small, key, holder, order, ttl).unionByName(
-            _grants_by_jumps(large, key, holder, order, ttl)
-        )
+    granted = _grants_by_jumps(rows, key, holder, order, ttl)
     return granted.select(key, holder, order, F.timestamp_micros("at").alias("granted_at"))
 
 
-def _grants_by_replay(
-    rows: DataFrame, key: str, holder: str, order: str, ttl: int
-) -> DataFrame:
-    """Replay each key's rows in time order, one pandas group per key."""
-
-    def replay(group):
-        group = group.sort_values(["at", order], kind="stable")
-        owner, since, granted = None, 0, []
-        for who, at, is_release in zip(group[holder], group["at"], group["is_release"]):
-            won = not is_release and (owner is None or at - since > ttl)
-            if won:
-                owner, since = who, at
-            elif is_release and owner == who:
-                owner = None
-            granted.append(won)
-        return group[granted].drop(columns="is_release")
-
-    schema = rows.drop("is_release").schema
-    return rows.groupBy(key).applyInPandas(replay, schema)
-
-
 def _grants_by_jumps(rows: DataFrame, key: str, holder: str, order: str, ttl: int) -> DataFrame:
     """The same result for keys of any size.
 

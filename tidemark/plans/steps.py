@@ -135,16 +135,19 @@ def retyped(df: DataFrame, column: str, data_type: str, on_error: str = "fail")
     """The column in place with another type.
 
     ``fail`` stops at a value that does not fit, ``null`` replaces it by null;
-    ``lost_values`` counts those first.
+    ``lost_values`` counts those first. A value that the cast only rounds, as 1.7
+    to int, fits. ``fail`` stops with ANSI mode on or off.
     """
     if column not in df.columns:
         raise ValueError(f"column {column} does not exist")
     if on_error not in ("fail", "null"):
         raise ValueError("on_error is fail or null")
     old = F.col(column)
+    new = cast_or_null(old, df.schema[column].dataType, data_type)
     if on_error == "fail":
-        return df.withColumn(column, old.cast(data_type))
-    return df.withColumn(column, cast_or_null(old, df.schema[column].dataType, data_type))
+        said = F.concat(F.lit(f"{column} does not fit {data_type}: "), old.cast("string"))
+        new = F.when(old.isNotNull() & new.isNull(), F.raise_error(said).cast(data_type)).otherwise(new)
+    return df.withColumn(column, new)
 
 
 def lost_values(df: DataFrame, column: str, data_type: str) -> DataFrame:

@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def refuse_day(df: DataFrame) -> None:
+    if "day" in (c.lower() for c in df.columns):
+        raise ValueError("day is the name of the partition; rename the column of this name first")
+
+
 def write_day_partitioned(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
     """Time-series table: one partition per day, rows in time order in a file.
 
     A rebalance, not a hash repartition: the shuffle splits a day that is too
-    big for one task and joins days that are too small for one file.
+    big for one task and joins days that are too small for one file. ``day`` is
+    the name of the partition, so a table with such a column is refused.
     """
+    refuse_day(df)
     (
         df.withColumn("day", F.to_date(F.col(ts)))
         .hint("rebalance", F.col("day"))

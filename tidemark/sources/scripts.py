@@ -37,15 +37,24 @@ def resolve(files: DataFrame, name: str = "name") -> DataFrame:
 
 
 def substitute(text: Column | str, values: dict[str, Column | str], strict: bool = True) -> Column:
-    """Replace ``${name}`` placeholders; an unknown name fails the query."""
+    """Replace ``${name}`` placeholders in one pass; values are not filled again.
+
+    An unknown name fails the query if ``strict`` and stays as it is otherwise; a
+    null value of a placeholder that occurs fails the query. Null stays null.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    for name, value in values.items():
-        new = F.lit(value) if isinstance(value, str) else value
-        text = F.replace(text, F.lit("${" + name + "}"), new)
-    if not strict:
-        return text
-    unknown = F.concat(F.lit("no value for placeholder "), F.regexp_extract(text, PLACEHOLDER, 0))
-    return F.when(text.rlike(PLACEHOLDER), F.raise_error(unknown).cast("string")).otherwise(text)
+
+    def filled(part: Column) -> Column:
+        unknown = F.raise_error(F.concat(F.lit("no value for placeholder "), part)).cast("string")
+        new = F.when(part.rlike(f"^{PLACEHOLDER}$"), unknown).otherwise(part) if strict else part
+        for name, value in values.items():
+            value = F.lit(value) if isinstance(value, str) else value
+            missing = F.raise_error(F.lit(f"null value for placeholder {name}")).cast("string")
+            new = F.when(part == F.lit("${" + name + "}"), F.coalesce(value, missing)).otherwise(new)
+        return new
+
+    parts = F.regexp_extract_all(text, F.lit(PLACEHOLDER + r"|[^$]+|\$"), F.lit(0))
+    return F.array_join(F.transform(parts, filled), "")
 
 
 def script_checksum(text: Column | str) -> Column:

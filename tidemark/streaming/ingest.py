@@ -2,40 +2,50 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sources.layout import refuse_day, write_day_partitioned
 
-def without_repeats(stream: DataFrame, ts: str, keys: list[str], lag: str = "10 minutes") -> DataFrame:
-    """Drop repeats of a key that arrive within the lag.
 
-    State is kept for the lag only, and rows later than the lag are dropped.
+def append_new(batch: DataFrame, path: str, ts: str, keys: list[str]) -> None:
+    """Append the rows of a batch whose keys are not yet in their day of the table.
+
+    Only the days of the batch are read, and of them only the keys. A batch that
+    comes again adds nothing.
     """
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lag)
-    return timed.dropDuplicatesWithinWatermark(keys)
+    rows = batch.withColumn("day", F.to_date(F.col(ts))).dropDuplicates([*keys, "day"])
+    try:
+        old = batch.sparkSession.read.schema(rows.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        days = rows.select("day").distinct()
+        held = old.select(*keys, "day").join(days, "day", "left_semi")
+        same = [rows[c].eqNullSafe(held[c]) for c in [*keys, "day"]]
+        rows = rows.join(held, same, "left_anti")
+    write_day_partitioned(rows.drop("day"), path, ts)
 
 
 def ingest_stream(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    ts: str,
-    keys: list[str] | None = None,
-    lag: str = "10 minutes",
-    files_per_day: int = 8,
+    stream: DataFrame, path: str, checkpoint: str, ts: str, keys: list[str] | None = None
 ) -> StreamingQuery:
     """Append a stream into day partitions until the source has no more.
 
-    Rows land in the partition of their own day in whatever order they come.
-    Without ``keys`` there is no state and every late row is kept; with
-    ``keys`` repeats within the lag are dropped. A trigger writes at most
-    ``files_per_day`` files into a day, and that many tasks share a big day.
+    Rows land in the partition of their own day in whatever order they come, and
+    late rows are kept. With ``keys`` a row goes if its day has its key already,
+    from this batch or an earlier one; no state is held for it. As many tasks
+    share a big day as the batch has partitions.
     """
-    rows = stream if keys is None else without_repeats(stream, ts, keys, lag)
-    share = F.pmod(F.hash(F.col(ts), F.spark_partition_id()), F.lit(files_per_day))
+    refuse_day(stream)
+    if keys is not None:
+        writer = stream.writeStream.foreachBatch(lambda batch, _: append_new(batch, path, ts, keys))
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     return (
-        rows.withColumns({"day": F.to_date(F.col(ts)), "_share": share})
+        stream.withColumns({"day": F.to_date(F.col(ts)), "_share": F.spark_partition_id()})
         .repartition("day", "_share")
         .drop("_share")
         .writeStream.format("parquet")
