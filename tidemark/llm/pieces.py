@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Results for words that a worker remembers; it starts anew when it has so many.
+#: Results for words that a task remembers; it starts anew when it has so many.
 REMEMBERED = 400_000
 RANK_OFFSET = 100
 #: Rows handled at once.
@@ -123,17 +123,6 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.cut.findall(text.replace(" ", SPACE))))
 
 
-_encoders: dict[int, Encoder] = {}
-
-
-def _encoder(vocabulary: Vocabulary) -> Encoder:
-    key = hash(vocabulary.pieces[:1000]) ^ hash(vocabulary.parts)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary)
-    return _encoders[key]
-
-
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
@@ -154,7 +143,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
     schema = StructType([*docs.schema]).add(into, ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary)
+        encoder = Encoder(vocabulary)  # goes with the task, so that an idle worker holds no words
         for batch in _sliced(batches):
             texts = batch.column(text).cast(pa.large_string()).to_pylist()
             packed = [encoder.encode(t or "") for t in texts]
