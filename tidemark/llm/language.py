@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -181,21 +182,26 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     if network is None:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.withColumn("_low", F.when(lettered, F.lower("text")))
     names = docs.columns
+    # A second copy of the texts would double what a batch holds, so they are lower-cased piece by piece.
+    rows = docs.withColumn("_lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = StructType([*docs.schema]).add("lang_pred", "string").add("score", "double")
     held = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         for batch in batches:
-            data, offsets = text_bytes(batch.column("_low"))
-            best, score = np.full(len(offsets) - 1, -1), np.zeros(len(offsets) - 1)
+            texts = batch.column(names.index("text")).cast(pa.large_binary())
+            lettered = batch.column(len(names)).to_pylist()
+            ends_at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+            best, score = np.full(len(texts), -1), np.zeros(len(texts))
             begin = 0
             while begin < len(best):  # about a megabyte of texts at once
-                end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + (1 << 20))) - 1)
-                windows, counts = windows_of(data[offsets[begin] : offsets[end]], offsets[begin : end + 1] - offsets[begin])
+                done = int(ends_at[begin - 1]) if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends_at, done + (1 << 20), "right")))
+                part = zip(texts.slice(begin, end - begin).to_pylist(), lettered[begin:end])
+                low = pa.array([t.decode("utf-8", "replace").lower() if ok else None for t, ok in part], pa.large_string())
+                windows, counts = windows_of(*text_bytes(low))
                 weight = LETTER[windows].sum(axis=1)
                 sums = np.concatenate([np.zeros((1, len(model.languages))), np.cumsum(model.scores(windows) * weight[:, None], axis=0, dtype=np.float64)])
                 total = np.concatenate([[0.0], np.cumsum(weight, dtype=np.float64)])
@@ -208,7 +214,7 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
                 begin = end
             names_of = [*model.languages, UNKNOWN]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array([names_of[k] for k in best.tolist()], pa.string()), pa.array(np.clip(score, 0, 1), pa.float64())],
+                [*batch.columns[: len(names)], pa.array([names_of[k] for k in best.tolist()], pa.string()), pa.array(np.clip(score, 0, 1), pa.float64())],
                 [*names, "lang_pred", "score"],
             )
 
