@@ -42,9 +42,7 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, with their ids and whether these decode to the text."""
-    vocabulary = pieces.Vocabulary.load()
-    both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
-    return both.withColumn("restored", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
+    return pieces.encode_and_check(docs, pieces.Vocabulary.load())
 
 
 STAGES: list[tuple[str, Stage]] = [

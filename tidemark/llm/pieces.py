@@ -19,6 +19,8 @@ SPACE = "▁"
 #: Results for words that a task remembers; it starts anew when it has so many.
 REMEMBERED = 400_000
 RANK_OFFSET = 100
+#: Characters of a text whose chunks are read one by one.
+LONG = 1 << 18
 #: Rows handled at once.
 ROWS = 512
 
@@ -120,7 +122,10 @@ class Encoder(dict):
         return self._plain(" " + text)
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.cut.findall(text.replace(" ", SPACE))))
+        text = text.replace(" ", SPACE)
+        # The chunks of a very long text are not all in memory at once.
+        chunks = self.cut.findall(text) if len(text) < LONG else (m.group() for m in self.cut.finditer(text))
+        return b"".join(map(self.__getitem__, chunks))
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +134,30 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS)
 
 
+def _ids_of(texts: list[str | None], encoder: Encoder) -> pa.Array:
+    packed = [encoder.encode(t or "") for t in texts]
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32()),
+        mask=pa.array([t is None for t in texts], pa.bool_()),
+    )
+
+
+def _texts_of(column: pa.Array, parts: np.ndarray) -> list[str | None]:
+    """The text of each list of ids; the last of ``parts`` is that of ids out of range."""
+    flat = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+    pieces = parts[np.where((flat >= 0) & (flat < len(parts) - 1), flat, len(parts) - 1)]
+    at, texts = 0, []
+    for n in column.value_lengths().to_pylist():
+        if n is None:
+            texts.append(None)
+            continue
+        text = b"".join(pieces[at : at + n]).decode("utf-8", "replace")
+        texts.append(text[1:] if text.startswith(" ") else text)
+        at += n
+    return texts
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text in column ``into``.
 
@@ -145,13 +174,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)  # goes with the task, so that an idle worker holds no words
         for batch in _sliced(batches):
-            texts = batch.column(text).cast(pa.large_string()).to_pylist()
-            packed = [encoder.encode(t or "") for t in texts]
-            ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32()),
-                mask=pa.array([t is None for t in texts], pa.bool_()),
-            )
+            ids = _ids_of(batch.column(text).cast(pa.large_string()).to_pylist(), encoder)
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*names, into])
 
     return docs.mapInArrow(run, schema)
@@ -170,26 +193,39 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = np.array([*vocabulary.parts, b""], object)
         for batch in _sliced(batches):
-            column = batch.column(ids)
-            flat = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-            pieces = parts[np.where((flat >= 0) & (flat < len(parts) - 1), flat, len(parts) - 1)]
-            at, texts = 0, []
-            for n in column.value_lengths().to_pylist():
-                if n is None:
-                    texts.append(None)
-                    continue
-                text = b"".join(pieces[at : at + n]).decode("utf-8", "replace")
-                texts.append(text[1:] if text.startswith(" ") else text)
-                at += n
+            texts = _texts_of(batch.column(ids), parts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, into])
 
     return rows.mapInArrow(run, schema)
 
 
+def encode_and_check(
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: str = "ids", restored: str = "restored"
+) -> DataFrame:
+    """``encode``, and in column ``restored`` whether ``decode`` gives the text back (null for null counts as such).
+
+    Both are done in one pass, so a task has one Python worker and ids are sent
+    only once. Columns named ``into`` or ``restored`` are replaced.
+    """
+    docs = docs.drop(into, restored)
+    names = docs.columns
+    schema = StructType([*docs.schema]).add(into, ArrayType(IntegerType())).add(restored, "boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, parts = Encoder(vocabulary), np.array([*vocabulary.parts, b""], object)
+        for batch in _sliced(batches):
+            texts = batch.column(text).cast(pa.large_string()).to_pylist()
+            ids = _ids_of(texts, encoder)
+            same = pa.array([a == b for a, b in zip(_texts_of(ids, parts), texts)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids, same], [*names, into, restored])
+
+    return docs.mapInArrow(run, schema)
+
+
 def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc_id, ids, n_pieces, restored``: the ids of each text, and whether they decode to it."""
-    both = decode(encode(docs.select("doc_id", F.col("text").cast("string")), vocabulary), vocabulary)
+    both = encode_and_check(docs.select("doc_id", F.col("text").cast("string")), vocabulary)
     return both.select(
         "doc_id", "ids", F.coalesce(F.when(F.col("ids").isNotNull(), F.size("ids")), F.lit(0)).cast("long").alias("n_pieces"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("restored"),
+        "restored",
     )
