@@ -31,13 +31,13 @@ def exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each component of similar documents that with the smallest doc_id stays."""
+    """Of each component of similar documents that with the smallest doc_id stays, and of its texts the smallest."""
     return one_of_each(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold an item of the benchmark go."""
-    return decontaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    """Documents that hold an item of the benchmark go, also those without doc_id."""
+    return decontaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"), unnamed=True)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

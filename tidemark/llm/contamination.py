@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.native_words import bounded, shingles, words
+from tidemark.llm.native_words import bounded, digest, shingles, words
 from tidemark.session import save
 
 WIDTH, PERCENT = 5, 75
@@ -29,6 +29,12 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     promise. Documents stream past the sketches, which are broadcast if they are
     few and joined by a shuffle otherwise; candidates are then counted exactly.
     """
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), words(F.col("text").cast("string")).alias("words"))
+    return _contained(texts, items)
+
+
+def _contained(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """``contained`` for texts that are cut into ``words`` already; their doc_id may be of any type."""
     items = items.where("item_id is not null").select(F.col("item_id").cast("long"), words(F.col("text").cast("string")).alias("words"))
     items = items.where("size(words) > 0").select(
         F.monotonically_increasing_id().alias("item"), "item_id", F.least(F.size("words"), F.lit(WIDTH)).alias("width"), shingles("words", WIDTH).alias("shingles")
@@ -42,7 +48,6 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     sketch = sketch.select("item", "n", "width", (F.size("h") - F.expr(f"n * {100 - PERCENT} div 100")).alias("least"), F.explode("h").alias("hash"))
     sketch = save(sketch, "sketches")
 
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), words(F.col("text").cast("string")).alias("words"))
     placed = texts.select("doc_id", "words", F.posexplode("words").alias("at", "word"))
     runs = None
     for (width,) in sorted(items.select("width").distinct().collect()):  # five numbers at most
@@ -71,10 +76,19 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item; all columns stay, and rows without doc_id."""
-    gone = save(contained(docs, items).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(bounded(gone, gone.count()), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+def decontaminated(docs: DataFrame, items: DataFrame, unnamed: bool = False) -> DataFrame:
+    """The rows of ``docs`` that hold no item; all columns stay.
+
+    Each row is decided by its own text, whatever rows repeat its doc_id. Rows
+    without doc_id stay unless ``unnamed`` says that they are decided too. Items
+    count with or without an id.
+    """
+    texts = docs if unnamed else docs.where("doc_id is not null")
+    texts = texts.select(digest().alias("doc_id"), words(F.col("text").cast("string")).alias("words"))
+    gone = _contained(texts, items.select(F.lit(0).alias("item_id"), "text"))
+    gone = save(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    decided = F.lit(True) if unnamed else F.col("doc_id").isNotNull()
+    return docs.join(bounded(gone, gone.count()), decided & (digest() == F.col("_gone")), "left_anti")
 
 
 SQL = r"""

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.native_words import bounded
+from tidemark.llm.native_words import bounded, digest
 from tidemark.llm.words import mix, shingle_sets
 from tidemark.session import save
 
@@ -71,8 +71,8 @@ def _members(width: int):
                 sizes.append(len(s))
                 signs.append(mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(np.array(signs, np.uint64).view(np.int64))],
-                ["doc_id", "n", "sign"],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(sizes, pa.int32()), pa.array(np.array(signs, np.uint64).view(np.int64))],
+                ["doc_id", "digest", "n", "sign"],
             )
 
     return run
@@ -189,29 +189,20 @@ def _fits(percent: int, n_a: str, n_b: str) -> Column:
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
-def linked_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """The component of each document under links between similar word sets.
+def _grouped(docs: DataFrame, width: int, percent: int, digests: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``docs`` with their sets, the sets, and the component of each set that links.
 
-    Reads ``doc_id, text`` of ``docs`` and no other column. Words are runs without
-    white space, lower-cased in A-Z; a set holds the distinct runs of ``width``
-    words, or the whole sequence if it is shorter. Two documents link if
-    100 * intersection >= ``percent`` * union. Returns ``doc_id, n_shingles,
-    component_id`` with one row per row of ``docs``; component_id is the smallest
-    doc_id reachable by links, the row's own included. Null and empty texts have
-    no shingles and stand alone. Rows that repeat a doc_id are kept; a null doc_id
-    counts for no minimum, and gives null where the component has no other.
-
-    Plan: texts are cut into sets twice, once for their sizes and signatures and
-    once for their shingles, which travel packed to the bucket of their hash.
-    Buckets send back only shingles of two or more different sets; a set keeps
-    going only if enough of its shingles came back. Equal sets count once from
-    the first bucket on. All that follows works on sets that have a chance.
+    The rows are ``doc_id, digest, n, sign``, where ``digest`` is null unless
+    asked for. The sets are ``sign, n, doc, id``: doc is the smallest doc_id and
+    id a number of the set itself, so texts under one doc_id, or under none, stay
+    sets of their own. The components are ``node, component``, of such numbers.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (digest() if digests else F.lit(None).cast("binary")).alias("digest"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    members = save(docs.mapInArrow(_members(width), "doc_id long, n int, sign long"), "members")
-    ids = save(members.where("n > 0 and doc_id is not null").groupBy("sign", "n").agg(F.min("doc_id").alias("id")), "ids")
+    members = save(docs.mapInArrow(_members(width), "doc_id long, digest binary, n int, sign long"), "members")
+    ids = members.where("n > 0").groupBy("sign", "n").agg(F.min("doc_id").alias("doc"))
+    ids = save(ids.withColumn("id", F.monotonically_increasing_id()), "ids")
 
     postings = docs.select("text").mapInArrow(
         _postings(width, 4 * parts), "bucket int, signs binary, sizes binary, counts binary, tokens binary"
@@ -268,8 +259,33 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
     more = _links(rest, sets, percent).where("linked").select(F.col("a"), F.col("b"))
     comps = save(components(known.where("linked").select("a", "b").union(more)), "components")
 
-    # Only sets that several rows share, or that link, have a component other than the row itself.
-    groups = ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("sign", "n", F.coalesce("component", "id").alias("component_id"))
+    return members, ids, comps
+
+
+def linked_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """The component of each document under links between similar word sets.
+
+    Reads ``doc_id, text`` of ``docs`` and no other column. Words are runs without
+    white space, lower-cased in A-Z; a set holds the distinct runs of ``width``
+    words, or the whole sequence if it is shorter. Two documents link if
+    100 * intersection >= ``percent`` * union. Returns ``doc_id, n_shingles,
+    component_id`` with one row per row of ``docs``; component_id is the smallest
+    doc_id reachable by links, the row's own included. Null and empty texts have
+    no shingles and stand alone. Rows that repeat a doc_id are kept; a null doc_id
+    counts for no minimum, and gives null where the component has no other.
+
+    Plan: texts are cut into sets twice, once for their sizes and signatures and
+    once for their shingles, which travel packed to the bucket of their hash.
+    Buckets send back only shingles of two or more different sets; a set keeps
+    going only if enough of its shingles came back. Equal sets count once from
+    the first bucket on. All that follows works on sets that have a chance.
+    """
+    members, ids, comps = _grouped(docs, width, percent, False)
+    # Sets that link to no other have the smallest of their own rows.
+    linked = save(ids.join(comps.withColumnRenamed("node", "id"), "id").select("sign", "n", "doc", "component"), "linked")
+    lowest = save(linked.groupBy("component").agg(F.min("doc").alias("low")), "lowest")
+    lows = linked.join(bounded(lowest, lowest.count()), "component").select("sign", "n", "low", F.lit(True).alias("links"))
+    groups = ids.join(lows, ["sign", "n"], "left").select("sign", "n", F.when(F.col("links"), F.col("low")).otherwise(F.col("doc")).alias("component_id"))
     return members.join(groups, ["sign", "n"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -279,9 +295,40 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """One row of each component of similar documents: that with the smallest doc_id.
 
-    Of rows that repeat this doc_id the one with the smallest text stays, nulls
-    first. Rows without doc_id stay. All columns are returned.
+    Of rows that repeat this doc_id the one with the smallest text stays, and one
+    of those that repeat the text too. Rows without doc_id come after all others.
+    Null and empty texts have no shingles and all stay. All columns are returned.
+
+    Rows are told by doc_id and text, so a further text of a doc_id is decided
+    for itself. Texts move only where several of them share the smallest doc_id
+    of a component.
     """
-    found = linked_components(docs, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    found = save(found, "gone")
-    return docs.join(bounded(found, found.count()), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    members, ids, comps = _grouped(docs, width, percent, True)
+    sets = ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("sign", "n", F.coalesce("component", "id").alias("component"))
+    keys = members.join(sets, ["sign", "n"]).groupBy("component", "doc_id", "digest").agg(F.count("*").alias("times"))
+    keys = save(keys, "keys")
+    several = keys.groupBy("component").agg(F.min("doc_id").alias("low"), F.sum("times").alias("rows")).where("rows > 1")
+    several = save(several.select("component", "low"), "several")
+    keys = save(keys.join(bounded(several, several.count()), "component"), "several_rows")
+    first = keys.where("doc_id <=> low").select("component", "doc_id", "digest")
+    tied = save(first.groupBy("component").agg(F.count("*").alias("texts")).where("texts > 1").select("component"), "tied")
+    tied = bounded(tied, tied.count())
+    ties = save(first.join(tied, "component", "left_semi").select("component", F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")), "ties")
+    marked = docs.withColumn("_sha", digest())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest"))
+    texts = marked.select("doc_id", F.col("text").cast("string").alias("text"), "_sha").join(bounded(ties, ties.count()), same)
+    smallest = texts.groupBy("component").agg(F.min(F.struct("text", "_sha")).alias("least")).select("component", "least._sha")
+    # A component of one doc_id and text is its own winner; of the tied ones the smallest text is.
+    stays = first.join(tied, "component", "left_anti").select("component", F.col("digest").alias("_sha")).unionByName(smallest)
+    stays = save(stays, "stays")
+    keys = keys.join(bounded(stays, stays.count()), "component")
+    stay = (F.col("doc_id").eqNullSafe(F.col("low"))) & (F.col("digest") == F.col("_sha"))
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), stay.alias("stays"), "times")
+    gone = save(keys.where("times > 1 or not stays").select("_id", "_digest", "stays"), "gone")
+    repeated = save(gone.where("stays").select("_id", "_digest"), "repeated")
+    n_repeated = repeated.count()
+    others = marked.join(bounded(gone.drop("stays"), gone.count()), same, "left_anti")
+    if n_repeated:
+        again = marked.join(bounded(repeated, n_repeated), same, "left_semi").dropDuplicates(["doc_id", "_sha"])
+        others = others.unionByName(again)
+    return others.drop("_sha")

@@ -26,6 +26,11 @@ def shingles(words: str, width: int) -> Column:
     )
 
 
+def digest() -> Column:
+    """The digest of ``text`` by which rows that repeat a doc_id are told apart; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+
+
 def bounded(table: DataFrame, rows: int) -> DataFrame:
     """A hint to broadcast ``table`` if its ``rows``, counted before, are few enough; else it is shuffled."""
     return F.broadcast(table) if rows <= BROADCAST_ROWS else table
