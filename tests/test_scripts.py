@@ -94,6 +94,22 @@ def test_calls(spark):
     ]
 
 
+def test_calls_with_comments_or_without_arguments(spark):
+    rows = [
+        "CALL p(1) -- note", "CALL q(2) /* x */", "/* a */ CALL r /* b */ ('', '-- no; /* x */', /* c, ( */ 3)", "CALL s()", "call app.t", "CALL u( ) -- ()",
+        "CALL v w", "SELECT 1 -- CALL x(1)",
+    ]
+    df = spark.createDataFrame([("p", n, sql) for n, sql in enumerate(rows)], "path string, stmt_no int, sql string")
+    columns = ["stmt_no", "procedure", "arg_no", "kind", "str_value", "int_value"]
+    got = [tuple(r) for r in statements.extract_calls(df, bare=True).select(columns).orderBy("stmt_no", "arg_no").collect()]
+    with_arguments = [
+        (0, "p", 1, "int", None, 1), (1, "q", 1, "int", None, 2),
+        (2, "r", 1, "string", "", None), (2, "r", 2, "string", "-- no; /* x */", None), (2, "r", 3, "int", None, 3),
+    ]
+    assert got == [*with_arguments, *((n, p, None, None, None, None) for n, p in [(3, "s"), (4, "app.t"), (5, "u")])]
+    assert [tuple(r) for r in statements.extract_calls(df).select(columns).orderBy("stmt_no", "arg_no").collect()] == with_arguments
+
+
 @pytest.mark.parametrize(
     "server, dialect",
     [

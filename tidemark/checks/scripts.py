@@ -88,7 +88,7 @@ def classify_statements(g: Given) -> DataFrame:
     UNION ALL SELECT path, stmt_no, procedure, 5, 'raw', '99999999999', NULL FROM a"""
 )
 def extract_calls(g: Given) -> DataFrame:
-    return statements.extract_calls(statements.split_statements(order_scripts(g), "db2z"))
+    return statements.extract_calls(statements.split_statements(order_scripts(g), "db2z"), bare=True)
 
 
 @CHECKS.add(

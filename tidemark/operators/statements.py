@@ -154,20 +154,34 @@ def classify_statements(statements: DataFrame) -> DataFrame:
     return statements.withColumns({"kind": kind, "transactional": ~ddl})
 
 
-CALL = r"(?is)^\s*CALL\s+((?:[^\s(]+\.)?[^\s(]+)\s*\(\s*(\S.*?)\s*\)\s*$"
+CALL = r"(?is)^\s*CALL\s+((?:[^\s(]+\.)?[^\s(]+)\s*(?:\(\s*(.*?)\s*\))?\s*$"
+COMMENT = rf"{LINE_COMMENT}|{BLOCK_COMMENT}"
+LITERAL = r"'[^']*+'|\"[^\"]*+\"|`[^`]*+`|" + DOLLAR_QUOTED
 
 
-def extract_calls(statements: DataFrame, path: str = "path") -> DataFrame:
+def _uncommented(sql: Column) -> Column:
+    """Statement with a space for each comment; quoted text stays as it is."""
+    pieces = F.regexp_extract_all(sql, F.lit(rf"{LITERAL}|{COMMENT}|[^'\"`$/-]++|{ANY}"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(rf"^(?:{COMMENT})\z"), " ").otherwise(p)), "")
+
+
+def extract_calls(statements: DataFrame, path: str = "path", bare: bool = False) -> DataFrame:
     """One row per argument of each CALL, with the argument's kind and value.
 
     Kinds: ``string`` (unescaped), ``int``, ``null``, and ``raw`` for any other
-    text, a number beyond 32 bits included.
+    text, a number beyond 32 bits included. Comments outside quoted text do not
+    count. With ``bare`` a call without arguments, with or without brackets, has
+    one row, whose arg_no, kind and values are null; else it has none.
     """
-    calls = statements.filter(F.col("sql").rlike(CALL)).select(
+    found = statements.filter(F.col("sql").rlike("(?i)CALL")).withColumn("sql", _uncommented(F.col("sql")))
+    found = found.filter(F.col("sql").rlike(CALL))
+    args = F.regexp_extract("sql", CALL, 2)
+    found = found if bare else found.filter(args != "")
+    calls = found.select(
         path,
         "stmt_no",
         F.regexp_extract("sql", CALL, 1).alias("procedure"),
-        F.posexplode(split_args(F.regexp_extract("sql", CALL, 2))).alias("arg_no", "arg"),
+        F.posexplode_outer(F.when(args != "", split_args(args))).alias("arg_no", "arg"),
     )
     arg = F.col("arg")
     number = F.when(arg.rlike(r"^-?[0-9]+$"), arg.try_cast("int"))
@@ -175,7 +189,7 @@ def extract_calls(statements: DataFrame, path: str = "path") -> DataFrame:
         F.when(arg.rlike(r"^(?s)'.*'$"), "string")
         .when(number.isNotNull(), "int")
         .when(F.upper(arg) == "NULL", "null")
-        .otherwise("raw")
+        .when(arg.isNotNull(), "raw")
     )
     return calls.withColumn("kind", kind).select(
         path,
