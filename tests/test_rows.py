@@ -46,6 +46,20 @@ def test_incoming_refs(spark, rows_of):
     assert rows_of(refs.incoming_refs(tables, links, cols, schema="s")) == expected
 
 
+def test_incoming_refs_of_several_schemas(spark, rows_of):
+    tables = spark.createDataFrame([("A", "t"), ("B", "t"), ("B", "u"), ("A", "v")], "table_schema string, table_name string")
+    links = spark.createDataFrame(
+        [("A", "fk_v", "A", "pk_t"), ("B", "fk_u", "B", "pk_t"), ("B", "fk_u2", "B", "pk_t"), ("A", "fk_t", "B", "pk_t"), ("B", "fk_t", "B", "pk_t")],
+        "constraint_schema string, constraint_name string, unique_constraint_schema string, unique_constraint_name string",
+    )
+    keys = [("A", "pk_t", "t"), ("B", "pk_t", "t"), ("A", "fk_v", "v"), ("B", "fk_u", "u"), ("B", "fk_u2", "u"), ("A", "fk_t", "t"), ("B", "fk_t", "t")]
+    cols = spark.createDataFrame([(*k, "c") for k in keys], "constraint_schema string, constraint_name string, table_name string, column_name string")
+    expected = [("A", "t", 1, 1), ("A", "v", 0, 0), ("B", "t", 3, 3), ("B", "u", 0, 0)]
+    assert rows_of(refs.incoming_refs(tables, links, cols)) == expected
+    with pytest.raises(ValueError, match="table_schema"):
+        refs.incoming_refs(tables.drop("table_schema"), links, cols)
+
+
 def test_independent_objects(spark, rows_of):
     listed = spark.createDataFrame([("s", "a"), ("s", "b"), ("t", "a")], "schema string, name string")
     used = spark.createDataFrame([("s", "a"), ("s", "a")], "schema string, name string")

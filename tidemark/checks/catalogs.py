@@ -131,6 +131,35 @@ def incoming_refs(g: Given) -> DataFrame:
     return refs.incoming_refs(g.part.select(table), links, keys, schema="S")
 
 
+@CHECKS.add(
+    """WITH r AS (SELECT concat('FK', l_orderkey, '_', l_linenumber) AS fk, CAST(l_linenumber % 2 AS VARCHAR) AS from_schema,
+        CAST(l_orderkey % 2 AS VARCHAR) AS to_schema, concat('T', l_suppkey) AS source, l_partkey AS target FROM lineitem),
+      counted AS (SELECT r.to_schema, r.target, count(*) AS n, count(DISTINCT r.fk) AS c
+        FROM r JOIN r f ON f.fk = r.fk AND f.from_schema = r.from_schema
+        WHERE f.source <> concat('T', r.target) OR r.from_schema <> r.to_schema GROUP BY 1, 2)
+    SELECT s.name AS table_schema, concat('T', p_partkey) AS table_name, coalesce(n, 0) AS incoming_refs_count,
+      coalesce(c, 0) AS n_constraints
+    FROM part CROSS JOIN (SELECT '0' AS name UNION ALL SELECT '1') s
+      LEFT JOIN counted ON target = p_partkey AND to_schema = s.name"""
+)
+def incoming_refs_schemas(g: Given) -> DataFrame:
+    """Tables of the same names in two schemas; an order line refers within or across them."""
+    fk = F.concat(F.lit("FK"), "l_orderkey", F.lit("_"), "l_linenumber").alias("constraint_name")
+    here = (F.col("l_linenumber") % 2).cast("string").alias("constraint_schema")
+    links = g.lineitem.select(
+        here,
+        fk,
+        (F.col("l_orderkey") % 2).cast("string").alias("unique_constraint_schema"),
+        F.concat(F.lit("PK"), "l_partkey").alias("unique_constraint_name"),
+    )
+    table = F.concat(F.lit("T"), F.col("p_partkey")).alias("table_name")
+    parts = g.part.select("p_partkey", table, F.explode(F.array(F.lit("0"), F.lit("1"))).alias("table_schema"))
+    primary = F.concat(F.lit("PK"), "p_partkey").alias("constraint_name")
+    keys = g.lineitem.select(here, fk, F.concat(F.lit("T"), "l_suppkey").alias("table_name"))
+    keys = keys.unionByName(parts.select(F.col("table_schema").alias("constraint_schema"), primary, "table_name"))
+    return refs.incoming_refs(parts.select("table_schema", "table_name"), links, keys)
+
+
 @CHECKS.add(
     """WITH RECURSIVE e AS (SELECT p_partkey AS src, p_partkey // 2 AS dst FROM part
         WHERE p_partkey <> p_partkey // 2),

@@ -15,7 +15,14 @@ def incoming_refs(
     positions, so a key of n columns counts n times n; ``n_constraints`` counts
     each constraint once. The pairs themselves never exist: columns are counted
     per constraint and table first, and the counts multiply.
+
+    ``schema`` names the schema of all ``tables``. Without it they have a column
+    ``table_schema``, and tables of one name in several schemas are counted
+    apart. A table is in the schema of its constraints, so one of the same name
+    in another schema is another table; with ``schema`` it counts as the same.
     """
+    if schema is None and "table_schema" not in tables.columns:
+        raise ValueError("tables of several schemas need a column table_schema")
     per_table = key_cols.groupBy("constraint_schema", "constraint_name", "table_name").agg(
         F.count("*").alias("n_cols")
     )
@@ -28,6 +35,9 @@ def incoming_refs(
     if schema is not None:
         target = target.filter(F.col("unique_constraint_schema") == schema)
     source = per_table.withColumnsRenamed({"table_name": "from_table", "n_cols": "from_cols"})
+    other = F.col("from_table") != F.col("to_table")
+    if schema is None:
+        other = other | (F.col("constraint_schema") != F.col("unique_constraint_schema"))
     links = refs.groupBy(
         "constraint_schema",
         "constraint_name",
@@ -37,13 +47,14 @@ def incoming_refs(
     counts = (
         links.join(source, ["constraint_schema", "constraint_name"])
         .join(target, ["unique_constraint_schema", "unique_constraint_name"])
-        .filter("from_table <> to_table")
-        .groupBy("to_table", "constraint_schema", "constraint_name")
+        .filter(other)
+        .groupBy("unique_constraint_schema", "to_table", "constraint_schema", "constraint_name")
         .agg(F.sum(F.col("n_refs") * F.col("from_cols") * F.col("to_cols")).alias("pairs"))
-        .groupBy(F.col("to_table").alias("table_name"))
+        .groupBy(F.col("unique_constraint_schema").alias("table_schema"), F.col("to_table").alias("table_name"))
         .agg(F.sum("pairs").alias("pairs"), F.count("*").alias("constraints"))
     )
-    return tables.join(counts, "table_name", "left").select(
+    keys = ["table_name"] if schema is not None else ["table_schema", "table_name"]
+    return tables.join(counts.select(*keys, "pairs", "constraints"), keys, "left").select(
         *tables.columns,
         F.coalesce("pairs", F.lit(0)).alias("incoming_refs_count"),
         F.coalesce("constraints", F.lit(0)).alias("n_constraints"),
