@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, exact, html_text, language, licences, lines, pieces, quality, shards
+from tidemark.llm import alignment, contamination, exact, html_text, language, licences, lines, pieces, quality, shards
 from tidemark.llm.samples import held_out
 from tidemark.llm.jaccard import linked_components
 
@@ -83,6 +83,11 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@_query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(_table(spark, folder, "documents"), alignment.Pair.load())
+
+
 SQL |= {
     "op2_line_dedup": lines.SQL,
     "op3_sharding": shards.SQL,
