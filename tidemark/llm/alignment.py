@@ -14,10 +14,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,11 @@ BLOCK = 400_000
 #: Words, and their characters, whose alignment a task remembers from block to block.
 REMEMBERED, REMEMBERED_CHARACTERS = 200_000, 4_000_000
 
+#: Links of a group that are written out one by one; those of a larger group are counted by its distinct ids.
+LARGE = 4096
+#: No pairs, and no times.
+NONE = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
 #: How the first tokenizer cuts a text before merging bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters below this one are in the same classes in every version of Unicode that libraries use.
@@ -138,64 +142,78 @@ class Aligner:
         # The second tokenizer puts a space before what it reads; its piece can be taken away
         # again from a line end only if no piece holds a line end.
         self.cut = re.compile(r"(?<=\S)(?= \S)" if any("\n" in p for p in pieces) else r"(?<=\S)(?=[ \n]\S)")
+        self.length_a, self.length_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
+        self.width = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = [f"{i}{after}" for after in ",|;\n" for i in range(self.width)]
         self.forget()
 
     def forget(self) -> None:
         self.code: dict[str, int] = {}
         self.characters = 0
-        self.sums = array("q")  # five numbers of each word: n_a, n_b, n_groups, n_links, ok
-        self.groups: list[bytes] = []
-        self.begins = array("q", [0])
-        self.pairs, self.times = array("Q"), array("q")
+        self.groups: list[str] = []
+        # Of each word: n_a, n_b, n_groups, n_links, whether its tokens spell it; and its links from ``begins`` on.
+        self.sums, self.begins = np.zeros((0, 5), np.int64), np.zeros(1, np.int64)
+        self.pairs, self.times = NONE
 
-    def _ids(self, words: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+    def _ids(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         plain = [self.fast is not None and max(w) < SETTLED for w in words]
-        rest = self.a.encode_batch([w for w, p in zip(words, plain) if not p], add_special_tokens=False)
-        rest = iter(rest)
+        rest = iter(self.a.encode_batch([w for w, p in zip(words, plain) if not p], add_special_tokens=False))
         second = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
-        for word, is_plain, b in zip(words, plain, second):
-            a = self.fast.encode_ordinary(word) if is_plain else next(rest).ids
-            yield word, a, b if word[0] == " " else b[1:]
+        encode = self.fast.encode_ordinary if self.fast else None
+        return [encode(w) if p else next(rest).ids for w, p in zip(words, plain)], [b if w[0] == " " else b[1:] for w, b in zip(words, second)]
 
     def _learn(self, words: list[str]) -> None:
-        bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        for word, a, b in self._ids(words):
-            raw = word.encode()
-            parts_a, parts_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
-            self.code[word] = len(self.code)
-            self.characters += len(word)
-            if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-                self.sums.extend((0, 0, 0, 0, 0))
-                self.groups.append(b"")
-                self.begins.append(len(self.pairs))
-                continue
-            texts, links, n_links = [], Counter(), 0
-            i = j = end_a = end_b = from_a = from_b = 0
-            while i < len(a) or j < len(b):
-                if end_a <= end_b:
-                    end_a += len(parts_a[i])
-                    i += 1
-                else:
-                    end_b += len(parts_b[j])
-                    j += 1
-                if end_a != end_b:
-                    continue
-                ids_a, ids_b = a[from_a:i], b[from_b:j]
-                from_a, from_b = i, j
-                texts.append(f"{','.join(map(str, ids_a))}|{','.join(map(str, ids_b))}")
-                n_links += len(ids_a) * len(ids_b)
-                if len(ids_a) == len(ids_b) == 1:
-                    links[ids_a[0] << 32 | ids_b[0]] += 1
-                    continue
-                many = Counter(ids_b).items()
-                for x, k in Counter(ids_a).items():
-                    for y, m in many:
-                        links[x << 32 | y] += k * m
-            self.sums.extend((len(a), len(b), len(texts), n_links, 1))
-            self.groups.append(";".join(texts).encode())
-            self.pairs.extend(links.keys())
-            self.times.extend(links.values())
-            self.begins.append(len(self.pairs))
+        """Tokens, groups and links of new words, all words at once."""
+        a, b = self._ids(words)
+        good = np.ones(len(words), bool)
+        for side, parts in ((a, self.bytes_a), (b, self.bytes_b)):
+            for k, (word, ids) in enumerate(zip(words, side)):
+                if b"".join([parts[i] for i in ids]) != word.encode():
+                    good[k] = False
+        for k in np.flatnonzero(~good).tolist():
+            a[k] = b[k] = []
+        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(words)) for side in (a, b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(side), np.int64, n.sum()) for side, n in ((a, n_a), (b, n_b)))
+        ends_a, ends_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b)
+        in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
+        first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        word = np.repeat(np.arange(len(words)), n_a)[first_a]  # of each group
+        size = in_a * in_b
+        sums = np.stack([n_a, n_b, np.bincount(word, minlength=len(words)), np.bincount(word, size, len(words)).astype(np.int64), good], axis=1)
+
+        g = np.repeat(np.arange(len(ends)), np.where(size <= LARGE, size, 0))
+        starts = np.flatnonzero(np.diff(g, prepend=-1))
+        nth = np.arange(len(g)) - np.repeat(starts, np.diff(np.append(starts, len(g))))
+        owner = [word[g]]
+        pairs, times = [flat_a[first_a[g] + nth // in_b[g]] << 32 | flat_b[first_b[g] + nth % in_b[g]]], [np.ones(len(g), np.int64)]
+        for k in np.flatnonzero(size > LARGE).tolist():
+            own_a, times_a = np.unique(flat_a[first_a[k] : first_a[k] + in_a[k]], return_counts=True)
+            own_b, times_b = np.unique(flat_b[first_b[k] : first_b[k] + in_b[k]], return_counts=True)
+            pairs.append((own_a[:, None] << 32 | own_b[None, :]).ravel())
+            times.append((times_a[:, None] * times_b[None, :]).ravel())
+            owner.append(np.full(len(pairs[-1]), word[k]))
+        owner, pairs, times = np.concatenate(owner), np.concatenate(pairs), np.concatenate(times)
+        if (size > LARGE).any():
+            order = np.argsort(owner, kind="stable")
+            owner, pairs, times = owner[order], pairs[order], times[order]
+
+        # Each token is written with what follows it: a comma within its side of a group, or what ends the side.
+        codes = np.zeros(len(flat_a) + len(flat_b), np.int64)
+        codes[first_b[group_a] + np.arange(len(flat_a))] = flat_a + self.width * (np.diff(group_a, append=-1) != 0)
+        last = np.diff(word, append=-1) != 0
+        after = np.where(np.diff(group_b, append=-1) != 0, 2 + last[group_b], 0)
+        codes[(first_a + in_a)[group_b] + np.arange(len(flat_b))] = flat_b + self.width * after
+        texts = iter("".join(map(self.written.__getitem__, codes.tolist())).split("\n"))
+        self.groups += [next(texts) if k else "" for k in good.tolist()]
+
+        self.code.update(zip(words, range(len(self.code), len(self.code) + len(words))))
+        self.characters += sum(map(len, words))
+        self.sums = np.concatenate([self.sums, sums])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(np.bincount(owner, minlength=len(words)))])
+        self.pairs = np.concatenate([self.pairs, pairs.astype(np.uint64)])
+        self.times = np.concatenate([self.times, times])
 
     def codes(self, words: list[str]) -> np.ndarray:
         """Numbers of words, which stand for their aligned tokens until ``forget``."""
@@ -206,8 +224,7 @@ class Aligner:
 
     def links(self, owner: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct ``owner, pair`` of words and how often each is linked, by owner and pair."""
-        begins = np.frombuffer(self.begins, np.int64)
-        pairs, times = np.frombuffer(self.pairs, np.uint64), np.frombuffer(self.times, np.int64)
+        begins, pairs, times = self.begins, self.pairs, self.times
         keys, seen = np.unique(owner * len(self.code) + codes, return_counts=True)
         owner, codes = np.divmod(keys, len(self.code))
         n = begins[codes + 1] - begins[codes]
@@ -225,9 +242,9 @@ class Aligner:
             return Closed()
         codes = self.codes(words)
         _, pairs, times = self.links(np.zeros(len(codes), np.int64), codes)
-        n_a, n_b, n_groups, n_links, _ = np.frombuffer(self.sums, np.int64).reshape(-1, 5)[codes].sum(axis=0).tolist()
-        ok = bool(np.frombuffer(self.sums, np.int64).reshape(-1, 5)[codes, 4].all())
-        return Closed(n_a, n_b, n_groups, n_links, ok, b";".join(g for c in codes.tolist() if (g := self.groups[c])), pairs, times)
+        n_a, n_b, n_groups, n_links, n_good = self.sums[codes].sum(axis=0).tolist()
+        groups = ";".join(g for c in codes.tolist() if (g := self.groups[c])).encode()
+        return Closed(n_a, n_b, n_groups, n_links, n_good == len(codes), groups, pairs, times)
 
     def fragment(self, text: str) -> Fragment:
         """What a range of a text holds; the first range of a text begins with the space before it."""
@@ -313,10 +330,6 @@ def _numbers(offset: int) -> Iterator[int]:
     return iter(range(first, first + (1 << 40)))
 
 
-#: No pairs, and no times.
-NONE = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-
 def _sha(groups: bytes) -> str:
     return hashlib.sha256(groups).hexdigest()
 
@@ -336,15 +349,14 @@ def _short_texts(pair: Pair):
             codes = aligner.codes([x for w in words for x in w])
             sums = np.zeros((len(words), 5), np.int64)
             owner = np.repeat(np.arange(len(words)), lengths)
-            by_word = np.frombuffer(aligner.sums, np.int64).reshape(-1, 5)[codes]
-            np.add.at(sums, owner, by_word)
+            np.add.at(sums, owner, aligner.sums[codes])
             good = sums[:, 4] == lengths
             flat, at = codes.tolist(), 0
             for k, doc_id in enumerate(ids):
                 own = flat[at : at + lengths[k]]
                 at += int(lengths[k])
                 if good[k] and own:
-                    out.add(doc_id, sums[k, :4].tolist(), _sha(b";".join([aligner.groups[c] for c in own])))
+                    out.add(doc_id, sums[k, :4].tolist(), _sha(";".join([aligner.groups[c] for c in own]).encode()))
                 else:
                     out.add(doc_id, [0, 0, 0, 0], "")
             use = good[owner]
