@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, contamination, conversations, exact, html_text, language, licences, lines, pieces, quality, shards
+from tidemark.llm import alignment, contamination, conversations, exact, html_text, language, licences, lines, near, pieces, quality, shards
 from tidemark.llm.samples import held_out
 from tidemark.llm.jaccard import linked_components
 
@@ -88,6 +88,11 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(_table(spark, folder, "documents"), alignment.Pair.load())
 
 
+@_query
+def op12_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_components(_table(spark, folder, "documents"))
+
+
 @_query
 def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
     given = _table(spark, folder, "conversations")
