@@ -30,10 +30,14 @@ TREES = 8
 COORDINATES = 128
 #: Sets of a node that are compared exhaustively in one task.
 SMALL = 512
+#: Rows of a node, and pairs to estimate, up to which those beside its largest component are compared with all.
+ROOM, WORK = 1 << 16, 1 << 25
 #: Branches of a node that is not small, by different coordinates, and how often nodes may branch.
 BRANCHES, DEPTH = 2, 12
+#: Pairs of a row confirmed in each round, the most similar ones first; None stands for all that components leave open.
+ROUNDS = (2, 8, None)
 #: Pairs whose estimate lies so many standard deviations below the threshold are not confirmed.
-SLACK = 4.5
+SLACK = 3.5
 #: Shingles hashed at once.
 PIECE = 2048
 
@@ -91,35 +95,36 @@ def _shingles(width: int):
     return run
 
 
-def _estimates(sketches: np.ndarray, one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Whether each pair of rows may link, by sizes and by equal bytes of sketches."""
+def _equal_bytes(sketches: np.ndarray, one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """For each pair of rows the equal bytes of their sketches, or -1 if these or their sizes rule out a link."""
     share = percent / 100
     equal = (sketches[one] == sketches[two]).sum(axis=1)
     # Bytes of different tokens are equal with a chance of 1/256; this only raises the estimate.
     least = COORDINATES * share - SLACK * math.sqrt(COORDINATES * share * (1 - share))
     low, high = np.minimum(sizes[one], sizes[two]), np.maximum(sizes[one], sizes[two])
-    return (equal >= least) & (100 * low >= percent * high)
-
-
-def _pairs_within(ids, sketches, sizes, comps, percent: int, first: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a small node that may link: with ``first`` a spanning forest of them, else those across components."""
-    order = np.argsort(ids)
-    ids, sketches, sizes, comps = ids[order], sketches[order], sizes[order], comps[order]
-    # Rows that an earlier row already reaches need no further pair in a forest.
-    reached = np.zeros(len(ids), bool)
-    for k in range(len(ids) - 1):
-        if first and reached[k]:
-            continue
-        others = k + 1 + np.flatnonzero(~reached[k + 1 :] if first else comps[k + 1 :] != comps[k])
-        others = others[_estimates(sketches, np.full(len(others), k), others, sizes, percent)]
+    return np.where((equal >= least) & (100 * low >= percent * high), equal, -1)
+
+
+def _pairs_within(ids, sketches, sizes, comps, percent: int, top: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a node across components that may link: the ``top`` most similar ones of each row, or all.
+
+    Rows of the largest component ask nothing; the others are compared with all.
+    """
+    _, code, n = np.unique(comps, return_inverse=True, return_counts=True)
+    asks = np.flatnonzero(code != n.argmax()) if n.max() > 1 else np.arange(len(ids))
+    for k in asks.tolist():
+        others = np.flatnonzero(comps != comps[k])
+        equal = _equal_bytes(sketches, np.full(len(others), k), others, sizes, percent)
+        others, equal = others[equal >= 0], equal[equal >= 0]
+        if top is not None and len(others) > top:
+            others = others[np.lexsort((ids[others], -equal))[:top]]
         if len(others):
-            reached[others] = True
-            yield np.full(len(others), ids[k]), ids[others]
+            yield np.minimum(ids[k], ids[others]), np.maximum(ids[k], ids[others])
 
 
-def _compare(percent: int, first: bool):
+def _compare(percent: int, top: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Nodes in order; each is held alone and has at most ``SMALL`` rows, but blocks of the deepest nodes twice that."""
+        """Nodes in order, of at most ``ROOM`` rows; only the last one of a batch is held for the next."""
 
         def found(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
@@ -129,11 +134,11 @@ def _compare(percent: int, first: bool):
             starts = np.flatnonzero(np.diff(nodes, prepend=~nodes[:1]) != 0)
             n = np.diff(np.append(starts, len(nodes)))
             two = starts[n == 2]  # most nodes are one pair
-            two = two[(comps[two] != comps[two + 1]) & _estimates(sketches, two, two + 1, sizes, percent)]
+            two = two[(comps[two] != comps[two + 1]) & (_equal_bytes(sketches, two, two + 1, sizes, percent) >= 0)]
             ones, twos = [np.minimum(ids[two], ids[two + 1])], [np.maximum(ids[two], ids[two + 1])]
             for at, k in zip(starts[n > 2].tolist(), n[n > 2].tolist()):
                 part = slice(at, at + k)
-                for a, b in _pairs_within(ids[part], sketches[part], sizes[part], comps[part], percent, first):
+                for a, b in _pairs_within(ids[part], sketches[part], sizes[part], comps[part], percent, top):
                     ones.append(a)
                     twos.append(b)
             if sum(map(len, ones)):
@@ -202,8 +207,17 @@ def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[
         pairs = rows.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
         pairs = save(pairs.join(links, ["a", "b"], "left_anti"), "pairs")
         links = save(links.union(_confirmed(pairs, docs, sets, width, percent)).distinct(), "links")
-        rows = _with_components(rows, save(components(links), "components"))
-        rows = save(rows.join(_mixed(rows), "node", "left_semi"), "mixed")
+        rows = save(_with_components(rows, save(components(links), "components")), "large")
+        # Only rows beside a node's largest component have anything to ask: they are compared with all if this is little work.
+        asks = rows.groupBy("node", "component").agg(F.count("*").alias("own")).groupBy("node").agg(F.sum("own").alias("all"), F.max("own").alias("main"))
+        asks = save(asks.where(F.col("all") > F.col("main")), "asks")
+        little = (F.col("all") <= ROOM) & (F.col("all") * (F.col("all") - F.col("main")) <= WORK)
+        asks = bounded(asks.select("node", little.alias("little")), asks.count())
+        rows = save(rows.join(asks, "node"), "mixed")
+        small.append(rows.where("little").select("node", "id"))
+        rows = rows.where("not little")
+        if rows.isEmpty():
+            break
         if depth < DEPTH:
             # The node's own hash selects the coordinates; each row goes on to one child for each.
             coordinate = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDINATES)).cast("int")
@@ -243,7 +257,7 @@ def near_components(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     only for pairs whose sketches agree. In a node most pairs follow from a
     spanning forest of probable links; those that remain, across the components
     that this gives, are all confirmed. Links found are exact; a link is missed
-    with the chance named at ``TREES`` (``SLACK`` adds about 3e-6).
+    with the chance named at ``TREES``, and 2e-4 for ``SLACK`` if it lies just at the threshold.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = docs.select("doc_id", "text", digest().alias("digest")).mapInArrow(
@@ -257,19 +271,22 @@ def near_components(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     sets = save(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
     nodes, links = _nodes(sets, docs, width, percent)
-    known = links
-    for first_round in (True, False):
-        at = _with_components(nodes, save(components(links), "components") if not links.isEmpty() else None)
+    known, comps, n_links = links, None, 0
+    for top in ROUNDS:
+        if (now := links.count()) > n_links:
+            comps, n_links = save(components(links), "components"), now
+        at = _with_components(nodes, comps)
         # A node within one component has no more to say.
         at = save(at, "at")
         at = at.join(_mixed(at), "node", "left_semi").join(sets.select("id", "n", "sketch"), "id")
         at = at.select("node", "id", "n", "sketch", "component").repartition("node").sortWithinPartitions("node")
-        pairs = at.mapInArrow(_compare(percent, first_round), "a long, b long").distinct()
+        pairs = at.mapInArrow(_compare(percent, top), "a long, b long").distinct()
         pairs = save(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         links = save(links.union(_confirmed(pairs, docs, sets, width, percent)).distinct(), "links")
         known = save(known.union(pairs), "known")
 
-    comps = save(components(links), "components")
+    if links.count() > n_links or comps is None:
+        comps = save(components(links), "components")
     linked = save(sets.join(comps.withColumnRenamed("node", "id"), "id").select("sign", "n", "doc", "component"), "linked")
     lowest = save(linked.groupBy("component").agg(F.min("doc").alias("low")), "lowest")
     lows = linked.join(bounded(lowest, lowest.count()), "component").select("sign", "n", "low", F.lit(True).alias("links"))
