@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import leases
 from tidemark.operators.history import HISTORY_COLUMNS, HISTORY_SCHEMA
 from tidemark.session import scratch_path
-from tidemark.streaming.ingest import ingest_stream
+from tidemark.streaming.ingest import ingest_stream, late_rows
 from tidemark.streaming.leases import lease_grants_stream, lease_sessions_stream
 from tidemark.streaming.mutations import apply_mutations, read_state, stream_mutations
 
@@ -211,3 +211,30 @@ def test_mutations_batch_by_batch(spark, root, rows_of):
     # The same batches again change nothing.
     stream_mutations(stream, root, f"{root}-again").awaitTermination()
     assert rows_of(read_state(spark, root)[1], "installed_rank", "description", "checksum") == LEFT
+
+
+def test_ingest_with_a_lag_over_triggers_and_a_restart(spark, root):
+    rows = lambda *r: spark.createDataFrame([(i, f"2024-01-01 {t}", v) for i, t, v in r], "id long, t string, v string").select(
+        "id", F.col("t").cast("timestamp").alias("ts"), "v"
+    )
+    source, raw, kept = f"{root}/source", f"{root}/raw", f"{root}/kept"
+    schema = rows((0, "00:00:00", "")).schema
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+    def arrive(*r):
+        rows(*r).coalesce(1).write.mode("append").parquet(source)
+        for path, how in ((raw, {}), (kept, {"keys": ["id"], "lag": "600 seconds"})):
+            ingest_stream(spark.readStream.schema(schema).parquet(source), path, f"{path}-state", "ts", **how).awaitTermination()
+        return sorted((r["id"], r["v"]) for r in spark.read.parquet(kept).collect())
+
+    assert arrive((1, "00:00:00", "a"), (2, "00:05:00", "a"), (2, "00:05:00", "a")) == [(1, "a"), (2, "a")]
+    # A repeat within the lag, one late by less than the lag, and time going on.
+    assert arrive((2, "00:05:00", "b"), (3, "00:01:00", "a"), (4, "02:00:00", "a")) == [(1, "a"), (2, "a"), (3, "a"), (4, "a")]
+    # Behind the watermark: neither the repeat nor the late new one gets in; the raw table has both.
+    assert arrive((1, "00:00:00", "c"), (5, "00:30:00", "a"), (6, "02:30:00", "a")) == [(1, "a"), (2, "a"), (3, "a"), (4, "a"), (6, "a")]
+    whole = spark.read.parquet(raw)
+    assert whole.count() == 9
+    assert [r["id"] for r in late_rows(whole, spark.read.parquet(kept), ["id"]).collect()] == [5]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+    with pytest.raises(ValueError, match="lag"):
+        ingest_stream(spark.readStream.schema(schema).parquet(source), kept, f"{kept}-x", "ts", lag="1 second")

@@ -85,6 +85,46 @@ def test_layers_blocked(spark):
         peel(spark, "ab", [("z", "a")])
 
 
+def test_layers_name_the_cycle(spark):
+    # a leads in, e and f lead out; the way b-c-d-b is the cycle.
+    edges = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "b"), ("d", "e"), ("e", "f")]
+    with pytest.raises(layers.BlockedObjects, match="in cycles: b, c, d$"):
+        peel(spark, "abcdef", edges)
+    with pytest.raises(layers.BlockedObjects, match="3 objects remain.*in cycles: x, y, z$"):
+        peel(spark, "abxyz", [("a", "b"), ("x", "y"), ("y", "z"), ("z", "x")])
+
+
+def test_layers_of_mixed_graphs(spark):
+    import random
+
+    for seed in range(4):
+        rng = random.Random(seed)
+        names = [f"n{k}" for k in range(60)]
+        # Mostly chains, with some edges across; sources have smaller numbers.
+        edges = {(names[k], names[k + 1]) for k in range(59) if k % 13} | {
+            (names[i], names[j]) for i, j in (sorted(rng.sample(range(60), 2)) for _ in range(seed * 6))
+        }
+        want = {n: 0 for n in names}
+        for n in names:
+            for a, b in edges:
+                if a == n:
+                    want[b] = max(want[b], want[a] + 1)
+        for n in names:  # edges go up, so one pass in order is enough
+            want[n] = max([0, *(want[a] + 1 for a, b in edges if b == n)])
+        assert peel(spark, names, sorted(edges)) == want
+
+
+def test_layers_of_a_long_chain(spark, monkeypatch):
+    n, rounds = 100_000, []
+    saved = layers.save
+    monkeypatch.setattr(layers, "save", lambda df, label: rounds.append(label) or saved(df, label))
+    nodes = spark.range(n).select(F.col("id").alias("node"))
+    edges = spark.range(n - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    found = layers.peel_layers(nodes, edges)
+    assert found.where("layer <> node").count() == 0 and found.count() == n
+    assert len(rounds) < 32
+
+
 def test_clean_plan(spark):
     rows = [
         ("s", "parent", "TABLE", False),

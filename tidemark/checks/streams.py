@@ -43,6 +43,18 @@ def ingest_stream(g: Given) -> DataFrame:
     return g.spark.read.parquet(path).groupBy("day").agg(F.count("*").alias("n_events"))
 
 
+@CHECKS.add("SELECT event_id, user_id, event_type, ts, CAST(ts AS DATE) AS day FROM events")
+def ingest_stream_lag(g: Given) -> DataFrame:
+    """Every third event is delivered twice, in a batch of its own or in one with others; each stays once."""
+    twice = F.explode(F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("delivery")
+    events = event_stream(g).select("event_id", "user_id", "event_type", "ts", twice)
+    path, state = scratch_path(g.spark, "lagged"), scratch_path(g.spark, "lagged-state")
+    for _ in range(2):  # the second start finds nothing new
+        ingest(events, path, state, "ts", keys=["event_id"], lag="600 seconds").awaitTermination()
+    kept = g.spark.read.parquet(path).select("event_id", "user_id", "event_type", "ts", "day")
+    return plain_time(kept, "ts")
+
+
 SESSIONS = f"""WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
   s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL {TTL} SECOND THEN 1 ELSE 0 END)
     OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM e)
