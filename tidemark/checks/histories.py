@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.checks.base import HIST, HIST_COLUMNS, Checks, Given, hist, plain_time
 from tidemark.operators import groups, history
 from tidemark.session import scratch_path
+from tidemark.sources import layout
 
 CHECKS = Checks()
 BOUND = ", ".join(history.BOUND_COLUMNS)
@@ -32,6 +33,19 @@ def unify_histories(g: Given) -> DataFrame:
     return plain_time(history.unify_histories(servers), "installed_on")
 
 
+@CHECKS.add(f"WITH {HIST} SELECT {HIST_COLUMNS}, concat('s', installed_rank % 12) AS server FROM hist")
+def unify_history_files(g: Given) -> DataFrame:
+    """Twelve servers in three layouts, each in a folder of its own."""
+    h, root = hist(g).withColumn("server", F.concat(F.lit("s"), F.col("installed_rank") % 12)), scratch_path(g.spark, "servers")
+    ok = F.col("success")
+    layouts = [ok, ok.cast("int"), F.upper(ok.cast("string"))]
+    for k, success in enumerate(layouts):
+        rows = h.where(F.col("installed_rank") % 3 == k).withColumn("success", success)
+        rows.write.partitionBy("server").mode("append").parquet(f"{root}/{k}")
+    paths = {f"s{n}": f"{root}/{n % 3}/server=s{n}" for n in range(12)}
+    return plain_time(history.unify_history_files(g.spark, paths), "installed_on")
+
+
 @CHECKS.add(f"WITH {HIST} SELECT {BOUND} FROM hist")
 def append_history(g: Given) -> DataFrame:
     path = scratch_path(g.spark, "history")
@@ -49,6 +63,18 @@ def ordered_history(g: Given) -> DataFrame:
     return history.ordered_history(hist(g)).select("installed_rank", "description")
 
 
+@CHECKS.add(
+    "SELECT * FROM events WHERE NOT coalesce(event_type IN ('error', 'click') AND ts < TIMESTAMP '2024-01-15', false)"
+)
+def expire_days(g: Given) -> DataFrame:
+    """A table with a partition for each day, of which only old ones are written again."""
+    path = scratch_path(g.spark, "expired")
+    layout.write_day_partitioned(g.events, path, "ts")
+    cutoff = F.lit("2024-01-15").cast("timestamp_ntz")
+    layout.expire_days(g.spark, path, F.col("event_type").isin("error", "click"), "ts", cutoff)
+    return g.spark.read.parquet(path).drop("day")
+
+
 @CHECKS.add(
     "SELECT * FROM events WHERE NOT coalesce(event_type = 'error' AND ts < TIMESTAMP '2024-01-15', false)"
 )

@@ -237,3 +237,11 @@ def clustered_lookup(g: Given) -> DataFrame:
     path = scratch_path(g.spark, "lineitem")
     layout.cluster_for_lookup(g.lineitem, ["l_partkey"], path)
     return g.spark.read.parquet(path).filter(F.col("l_partkey").between(100, 199))
+
+
+@CHECKS.add("SELECT * FROM lineitem WHERE l_suppkey BETWEEN 3 AND 5")
+def curve_lookup(g: Given) -> DataFrame:
+    """Looked up by the second of the clustered columns."""
+    path = scratch_path(g.spark, "lineitem")
+    layout.cluster_by_curve(g.lineitem, ["l_partkey", "l_suppkey"], path)
+    return g.spark.read.parquet(path).filter(F.col("l_suppkey").between(3, 5))

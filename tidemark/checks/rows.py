@@ -43,6 +43,30 @@ def fk_violations_self(g: Given) -> DataFrame:
     return refs.fk_violations(child, "parent_id", g.documents, "doc_id")
 
 
+@CHECKS.add(
+    """WITH c AS (SELECT l_orderkey + 4 * (l_linenumber % 2) AS o, CASE WHEN l_linenumber <> 3 THEN l_linenumber END AS n, l_quantity FROM lineitem)
+    SELECT o, n, l_quantity FROM c WHERE o IS NOT NULL AND n IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = c.o AND l.l_linenumber = c.n)"""
+)
+def fk_violations_composite(g: Given) -> DataFrame:
+    """Lines refer to lines by order and number; a number that is missing refers to nothing."""
+    number = F.when(F.col("l_linenumber") != 3, F.col("l_linenumber"))
+    moved = (F.col("l_orderkey") + 4 * (F.col("l_linenumber") % 2)).alias("o")
+    child = g.lineitem.select(moved, number.alias("n"), "l_quantity")
+    return refs.fk_violations(child, ["o", "n"], g.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+@CHECKS.add(
+    """SELECT l_orderkey, l_linenumber, l_quantity, l_partkey + l_linenumber * 100 AS l_partkey
+    FROM lineitem WHERE l_partkey + l_linenumber * 100 NOT IN (SELECT p_partkey FROM part)"""
+)
+def fk_violations_dense(g: Given) -> DataFrame:
+    """As ``fk_violations``, by a bitmap of the part keys."""
+    moved = (F.col("l_partkey") + F.col("l_linenumber") * 100).alias("l_partkey")
+    child = g.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", moved)
+    return refs.fk_violations_dense(child, "l_partkey", g.part, "p_partkey")
+
+
 @CHECKS.add(
     """SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'
     UNION ALL SELECT * REPLACE (c_acctbal + 1 AS c_acctbal) FROM customer WHERE c_mktsegment = 'BUILDING'"""

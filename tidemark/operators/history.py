@@ -6,9 +6,10 @@ table, and the caller writes it as the next snapshot.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +38,8 @@ TABLE_MARKER = "TABLE"
 BASELINE_MARKER = "BASELINE"
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """Any physical layout of a history as the ten declared columns.
+def conform(df: DataFrame, *more: Column) -> DataFrame:
+    """Any physical layout of a history as the ten declared columns, and ``more``.
 
     Columns match by name, missing nullable ones become null, and a boolean
     may be stored as a bit, a number or text.
@@ -54,7 +55,7 @@ def conform(df: DataFrame) -> DataFrame:
         value = to_bool(source) if field.name == "success" else source.cast(field.dataType)
         return value.alias(field.name)
 
-    return df.select(*[column(f) for f in HISTORY_SCHEMA])
+    return df.select(*[column(f) for f in HISTORY_SCHEMA], *more)
 
 
 def unify_histories(histories: dict[str, DataFrame]) -> DataFrame:
@@ -63,6 +64,29 @@ def unify_histories(histories: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def unify_history_files(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType] | None = None) -> DataFrame:
+    """``unify_histories`` for histories in Parquet folders, with one scan for each layout.
+
+    Servers whose files have the same columns and types are read together, and the
+    folder of a file tells its server. The plan so grows with the layouts and not
+    with the servers. ``schemas`` saves reading one file footer for each server.
+    """
+    layouts: dict[str, list[str]] = {}
+    known = schemas or {}
+    for server, path in paths.items():
+        schema = known.get(server) or spark.read.parquet(path).schema
+        layouts.setdefault(schema.json(), []).append(server)
+    names = spark.createDataFrame([(server, path.split(":", 1)[-1].rstrip("/").lstrip("/")) for server, path in paths.items()], "server string, folder string")
+    parts = []
+    for schema, servers in layouts.items():
+        # The name of the folder, without the scheme and slashes that differ between file systems.
+        folder = F.regexp_replace(F.regexp_replace(F.url_decode(F.regexp_replace("_metadata.file_path", "[+]", "%2B")), "^[a-z0-9]+:/*", ""), "/[^/]*$", "")
+        rows = spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*(paths[s] for s in servers))
+        parts.append(conform(rows, folder.alias("folder")))
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole.join(F.broadcast(names), "folder").drop("folder")
+
+
 def append_history(df: DataFrame, path: str) -> None:
     """Append rows by explicit column list; the time of the insert is now."""
     rows = df.select(*BOUND_COLUMNS).withColumn("installed_on", F.current_timestamp())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import save
+
 
 def incoming_refs(
     tables: DataFrame, refs: DataFrame, key_cols: DataFrame, schema: str | None = None
@@ -73,15 +75,51 @@ def row_ref_counts(parent: DataFrame, child: DataFrame, pk: str, fk: str) -> Dat
     return parent.join(counts, pk, "left").withColumn("n_refs", F.coalesce("n_refs", F.lit(0)))
 
 
-def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose key is not null and has no parent row.
+#: Bits of one row of a bitmap, and the rows of a bitmap that may be sent to all tasks (4 KB each).
+BITS, BITMAP_ROWS = 32_768, 8_192
+
+
+def fk_violations(child: DataFrame, fk: str | list[str], parent: DataFrame, pk: str | list[str]) -> DataFrame:
+    """Child rows whose key has no parent row.
+
+    A key of several columns follows MATCH SIMPLE: if any part is null it refers
+    to nothing and is no violation. Parts are compared in the order given.
 
     Only distinct key values meet the parent. The rows then join the values
-    without a parent, usually few, so wide rows seldom move at all.
+    without a parent, usually few, so wide rows seldom move at all. For a key of
+    one whole number there is ``fk_violations_dense``.
+    """
+    fks, pks = ([k] if isinstance(k, str) else list(k) for k in (fk, pk))
+    if len(fks) != len(pks):
+        raise ValueError("both sides of a reference have the same number of columns")
+    values = child.select(*fks).dropna().distinct()
+    orphans = values.join(parent.select(*(F.col(p).alias(f) for f, p in zip(fks, pks))), fks, "left_anti")
+    return child.join(orphans, fks, "left_semi").select(*child.columns)
+
+
+def fk_violations_dense(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """``fk_violations`` for whole numbers, by an exact bitmap of the parent's keys.
+
+    Each task sets the bits of its keys, bits of one range are joined, and the
+    bitmap is sent to the tasks that read the child, whose rows do not move. It is
+    used if it has at most ``BITMAP_ROWS`` ranges with keys (32 MB); else, and so
+    for keys spread far apart, the way of ``fk_violations`` is taken.
     """
-    values = child.select(fk).filter(F.col(fk).isNotNull()).distinct()
-    orphans = values.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return child.join(orphans, fk, "left_semi").select(*child.columns)
+    keys = parent.select(F.col(pk).cast("long").alias("k")).where("k IS NOT NULL")
+    maps = keys.groupBy(F.expr("bitmap_bucket_number(k)").alias("range")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(k))").alias("bits"))
+    maps = save(maps, "bitmap")
+    if maps.count() > BITMAP_ROWS:
+        return fk_violations(child, fk, parent, pk)
+    own, mark = set(child.columns), "_"
+    while {f"{mark}range", f"{mark}bits"} & own:
+        mark += "_"
+    maps = F.broadcast(maps.select(F.col("range").alias(f"{mark}range"), F.col("bits").alias(f"{mark}bits")))
+    key = F.col(fk).cast("long")
+    met = child.join(maps, F.call_function("bitmap_bucket_number", key) == F.col(f"{mark}range"), "left")
+    at = F.call_function("bitmap_bit_position", key)
+    byte = F.conv(F.hex(F.substring(F.col(f"{mark}bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("getbit", byte, (at % 8).cast("int")) == 1
+    return met.where(F.col(fk).isNotNull() & ~F.coalesce(is_set, F.lit(False))).select(*child.columns)
 
 
 def independent_objects(objects: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
