@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.words import release
 from tidemark.session import save
 
 MODEL_A = "/opt/tokenizers/byte_bpe_50k.json"
@@ -377,6 +378,8 @@ def _short_texts(pair: Pair):
                         aligner.relieve()
         if ids:
             yield block()
+        aligner.forget()
+        release()
 
     return run
 

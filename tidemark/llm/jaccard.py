@@ -27,38 +27,57 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.native_words import bounded, digest
-from tidemark.llm.words import mix, shingle_sets
+from tidemark.llm.words import mix, release, shingle_sets
 from tidemark.session import save
 
 #: Shingles that a task holds before it hands them on.
-FLUSH = 1_000_000
+FLUSH = 400_000
+
+
+#: A set's key names its size within this factor in its last ten bits.
+STEP = 1.015
+
+
+def _keys(signs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Eight bytes for a set: 54 bits of its sign and size, and ten that tell about how large it is."""
+    with np.errstate(over="ignore"):
+        mixed = mix(signs + mix(sizes.astype(np.uint64)))
+    level = np.minimum(np.floor(np.log(np.maximum(sizes, 1)) / math.log(STEP)), 1023).astype(np.uint64)
+    return mixed >> np.uint64(10) << np.uint64(10) | level
+
+
+def _least_sizes(keys: np.ndarray) -> np.ndarray:
+    """The smallest size that sets with these keys can have."""
+    return np.floor(STEP ** (keys & np.uint64(1023)).astype(np.float64) * (1 - 1e-9)).astype(np.int64)
 
 
 def _blobs(shingles: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     """One row per bucket: which sets have shingles in it, and six bytes of these shingles.
 
-    With the number of the bucket that is more than 48 bits, and a bucket has
-    about as many shingles at every size of the input.
+    With the number of the bucket that is more than 48 bits. A set is eight bytes
+    and, for each 255 of its shingles, one that counts them.
     """
     sizes = np.array([len(s) for s in shingles], np.int64)
     tokens = np.concatenate(shingles)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(tokens ^ np.uint64(0x5BD1E995)), dtype=np.uint64)])
     ends = np.cumsum(sizes)
     with np.errstate(over="ignore"):
-        signs = sums[ends] - sums[ends - sizes]
-    _, kept = np.unique(np.stack([signs, sizes.astype(np.uint64)]), axis=1, return_index=True)
+        keys = _keys(sums[ends] - sums[ends - sizes], sizes)
+    _, kept = np.unique(keys, return_index=True)
     use = np.repeat(np.isin(np.arange(len(sizes)), kept), sizes)
-    owner, tokens = np.repeat(np.arange(len(sizes)), sizes)[use], tokens[use]
+    owner, tokens = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[use], tokens[use]
     bucket = ((tokens >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     owner, tokens, bucket = owner[order], tokens[order], bucket[order]
     starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    rows = {"bucket": bucket[starts], "signs": [], "sizes": [], "counts": [], "tokens": []}
+    rows = {"bucket": bucket[starts], "keys": [], "counts": [], "tokens": []}
     for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]):
         own, counts = np.unique(owner[begin:end], return_counts=True)
-        rows["signs"].append(signs[own].tobytes())
-        rows["sizes"].append(sizes[own].astype(np.int32).tobytes())
-        rows["counts"].append(counts.astype(np.int32).tobytes())
+        times = -(-counts // 255)
+        bytes_ = np.full(times.sum(), 255, np.uint8)
+        bytes_[np.cumsum(times) - 1] = counts - 255 * (times - 1)
+        rows["keys"].append(np.repeat(keys[own], times).tobytes())
+        rows["counts"].append(bytes_.tobytes())
         rows["tokens"].append(tokens[begin:end].view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
     return pa.RecordBatch.from_pydict(rows, pa.schema([("bucket", pa.int32()), *((k, pa.binary()) for k in list(rows)[1:])]))
 
@@ -70,10 +89,15 @@ def _members(width: int):
             for s in shingle_sets(batch.column("text"), width):
                 sizes.append(len(s))
                 signs.append(mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64))
+            sizes, signs = np.array(sizes, np.int64), np.array(signs, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), pa.array(sizes, pa.int32()), pa.array(np.array(signs, np.uint64).view(np.int64))],
-                ["doc_id", "digest", "n", "sign"],
-            )
+                [
+                    batch.column("doc_id"), batch.column("digest"), pa.array(sizes.astype(np.int32)), pa.array(signs.view(np.int64)),
+                    pa.array(_keys(signs, sizes).view(np.int64)),
+                ],
+                ["doc_id", "digest", "n", "sign", "key"],
+            )
+        release()
 
     return run
 
@@ -91,6 +115,7 @@ def _postings(width: int, buckets: int):
                     held, n = [], 0
         if held:
             yield _blobs(held, buckets)
+        release()
 
     return run
 
@@ -101,13 +126,8 @@ def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
 
 def _shared(table: pa.Table) -> pa.Table:
     """The shingles of a bucket that two or more sets have, by group of sets."""
-    signs, sizes = _joined(table, "signs", np.uint64), _joined(table, "sizes", np.int32)
-    order = np.lexsort((sizes, signs))
-    change = (np.diff(signs[order], prepend=signs[order[:1]]) != 0) | (np.diff(sizes[order], prepend=sizes[order[:1]]) != 0)
-    ids = np.empty(len(order), np.int32)
-    ids[order] = np.cumsum(change)
-    firsts = order[np.concatenate([[0], np.flatnonzero(change)])]
-    owner = np.repeat(ids, _joined(table, "counts", np.int32))
+    sets, ids = np.unique(_joined(table, "keys", np.uint64), return_inverse=True)
+    owner = np.repeat(ids.astype(np.int32), _joined(table, "counts", np.uint8))
     tokens = np.zeros((len(owner), 8), np.uint8)
     tokens[:, :6] = _joined(table, "tokens", np.uint8).reshape(-1, 6)
     tokens[:, 6:] = np.array([table.column("bucket")[0].as_py() & 0xFFFF], np.uint16).view(np.uint8)
@@ -131,15 +151,14 @@ def _shared(table: pa.Table) -> pa.Table:
     keep = df > 1
     tokens, owner, df = tokens[keep], owner[keep], df[keep]
     groups = int(table.column("groups")[0].as_py())
-    group = (signs[firsts][owner] % np.uint64(groups)).astype(np.int32)
+    group = ((sets[owner] >> np.uint64(10)) % np.uint64(groups)).astype(np.int32)
     order = np.lexsort((owner, group))
     group, owner, tokens, df = group[order], owner[order], tokens[order], df[order]
     starts = np.flatnonzero(np.diff(group, prepend=-1))
-    rows = {"part": group[starts], "signs": [], "sizes": [], "counts": [], "tokens": [], "df": []}
+    rows = {"part": group[starts], "keys": [], "counts": [], "tokens": [], "df": []}
     for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(group)]):
         own, counts = np.unique(owner[begin:end], return_counts=True)
-        rows["signs"].append(signs[firsts][own].tobytes())
-        rows["sizes"].append(sizes[firsts][own].tobytes())
+        rows["keys"].append(sets[own].tobytes())
         rows["counts"].append(counts.astype(np.int32).tobytes())
         rows["tokens"].append(tokens[begin:end].tobytes())
         rows["df"].append(np.minimum(df[begin:end], 2**31 - 1).astype(np.int32).tobytes())
@@ -147,22 +166,20 @@ def _shared(table: pa.Table) -> pa.Table:
 
 
 def _sets(table: pa.Table, percent: int) -> pa.Table:
-    """The sets with enough shared shingles for a link, rarest shingles first."""
-    counts = _joined(table, "counts", np.int32)
-    signs, sizes = np.repeat(_joined(table, "signs", np.uint64), counts), np.repeat(_joined(table, "sizes", np.int32), counts)
+    """The sets that may have enough shared shingles for a link, rarest shingles first."""
+    keys = np.repeat(_joined(table, "keys", np.uint64), _joined(table, "counts", np.int32))
     tokens, df = _joined(table, "tokens", np.uint64), _joined(table, "df", np.int32)
-    order = np.lexsort((tokens, df, sizes, signs))
-    signs, sizes, tokens = signs[order], sizes[order], tokens[order].view(np.int64)
-    starts = np.flatnonzero(np.concatenate([[True], (np.diff(signs) != 0) | (np.diff(sizes) != 0)]))
-    ends = np.append(starts[1:], len(signs))
-    keep = 100 * (ends - starts) >= percent * sizes[starts].astype(np.int64)
-    weight = np.add.reduceat(df[order].astype(np.float64), starts) / sizes[starts]
-    starts, ends, weight = starts[keep], ends[keep], weight[keep]
+    order = np.lexsort((tokens, df, keys))
+    keys, tokens, df = keys[order], tokens[order].view(np.int64), df[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
+    ends = np.append(starts[1:], len(keys))
+    keep = 100 * (ends - starts) >= percent * _least_sizes(keys[starts])
+    total = np.add.reduceat(df.astype(np.float64), starts) if len(starts) else np.zeros(0)
+    starts, ends, total = starts[keep], ends[keep], total[keep]
     return pa.table(
         {
-            "weight": pa.array(weight, pa.float64()),
-            "sign": pa.array(signs[starts].view(np.int64), pa.int64()),
-            "n": pa.array(sizes[starts], pa.int32()),
+            "total": pa.array(total, pa.float64()),
+            "key": pa.array(keys[starts].view(np.int64), pa.int64()),
             "tokens": pa.array([tokens[b:e] for b, e in zip(starts.tolist(), ends.tolist())], pa.list_(pa.int64())),
         }
     )
@@ -200,18 +217,17 @@ def _grouped(docs: DataFrame, width: int, percent: int, digests: bool) -> tuple[
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (digest() if digests else F.lit(None).cast("binary")).alias("digest"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    members = save(docs.mapInArrow(_members(width), "doc_id long, digest binary, n int, sign long"), "members")
-    ids = members.where("n > 0").groupBy("sign", "n").agg(F.min("doc_id").alias("doc"))
+    members = save(docs.mapInArrow(_members(width), "doc_id long, digest binary, n int, sign long, key long"), "members")
+    ids = members.where("n > 0").groupBy("sign", "n").agg(F.min("doc_id").alias("doc"), F.min("key").alias("key"))
     ids = save(ids.withColumn("id", F.monotonically_increasing_id()), "ids")
 
-    postings = docs.select("text").mapInArrow(
-        _postings(width, 4 * parts), "bucket int, signs binary, sizes binary, counts binary, tokens binary"
-    )
+    postings = docs.select("text").mapInArrow(_postings(width, 2 * parts), "bucket int, keys binary, counts binary, tokens binary")
     shared = postings.withColumn("groups", F.lit(parts)).groupBy("bucket").applyInArrow(
-        _shared, "part int, signs binary, sizes binary, counts binary, tokens binary, df binary"
+        _shared, "part int, keys binary, counts binary, tokens binary, df binary"
     )
-    sets = shared.groupBy("part").applyInArrow(lambda t: _sets(t, percent), "weight double, sign long, n int, tokens array<long>")
-    sets = save(sets.join(ids, ["sign", "n"]).select("id", "n", "weight", "tokens"), "sets")
+    sets = shared.groupBy("part").applyInArrow(lambda t: _sets(t, percent), "total double, key long, tokens array<long>")
+    sets = sets.join(ids.select("key", "id", "n"), "key").where(100 * F.size("tokens").cast("long") >= percent * F.col("n").cast("long"))
+    sets = save(sets.select("id", "n", (F.col("total") / F.col("n")).alias("weight"), "tokens"), "sets")
 
     # Any two sets that link share one of their first n - ceil(n * percent) + 1 shingles; those that
     # no other set has come first and are known to be n minus the number that is left.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.llm.samples import held_out, some_of_each
-from tidemark.llm.words import text_bytes
+from tidemark.llm.words import release, text_bytes
 
 UNKNOWN = "und"
 #: Bytes of a window; filters of each width; numbers a byte is embedded in.
@@ -217,5 +217,6 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
                 [*batch.columns[: len(names)], pa.array([names_of[k] for k in best.tolist()], pa.string()), pa.array(np.clip(score, 0, 1), pa.float64())],
                 [*names, "lang_pred", "score"],
             )
+        release()
 
     return rows.mapInArrow(run, schema)

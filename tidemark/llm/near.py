@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.native_words import bounded, digest
-from tidemark.llm.words import mix, shingle_sets
+from tidemark.llm.words import mix, release, shingle_sets
 from tidemark.session import save
 
 #: Independent trees; a link at the threshold is lost by all of them with a chance of (1 - 0.85)**8, 3e-7.
@@ -74,6 +74,7 @@ def _members(width: int):
                 ],
                 ["doc_id", "digest", "n", "sign", "tokens", "sketch"],
             )
+        release()
 
     return run
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
+from tidemark.llm.words import release
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Results for words that a task remembers; it starts anew when it has so many.
@@ -176,6 +178,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
         for batch in _sliced(batches):
             ids = _ids_of(batch.column(text).cast(pa.large_string()).to_pylist(), encoder)
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*names, into])
+        encoder.clear()
+        release()
 
     return docs.mapInArrow(run, schema)
 
@@ -218,6 +222,8 @@ def encode_and_check(
             ids = _ids_of(texts, encoder)
             same = pa.array([a == b for a, b in zip(_texts_of(ids, parts), texts)], pa.bool_())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, same], [*names, into, restored])
+        encoder.clear()
+        release()
 
     return docs.mapInArrow(run, schema)
 

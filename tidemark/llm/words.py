@@ -8,6 +8,8 @@ chance of about 2**-64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,13 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system, as its Python worker stays for the next one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Every bit of the result depends on every bit of the 64-bit input."""
     with np.errstate(over="ignore"):
