@@ -35,7 +35,7 @@ ROOM, WORK = 1 << 16, 1 << 25
 #: Branches of a node that is not small, by different coordinates, and how often nodes may branch.
 BRANCHES, DEPTH = 2, 12
 #: Pairs of a row confirmed in each round, the most similar ones first; None stands for all that components leave open.
-ROUNDS = (2, 8, None)
+ROUNDS = (4, None)
 #: Pairs whose estimate lies so many standard deviations below the threshold are not confirmed.
 SLACK = 3.5
 #: Shingles hashed at once.
