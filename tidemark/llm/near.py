@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import extended
 from tidemark.llm.native_words import bounded, digest
 from tidemark.llm.words import mix, release, shingle_sets
 from tidemark.session import save
@@ -176,10 +176,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, p
     return save(met.where(100 * F.col("both") >= percent * (F.col("all") - F.col("both"))).select("a", "b"), "links")
 
 
-def _with_components(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
     rows = rows.drop("component")
-    if comps is None:
-        return rows.withColumn("component", F.col("id"))
     return rows.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
@@ -188,11 +186,12 @@ def _mixed(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("node")
 
 
-def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Small nodes (``node, id``) and the links found between leaders and members of all others."""
+def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Small nodes (``node, id``), the links found between leaders and members of all others, and their components."""
     spark = sets.sparkSession
     at = sets.select("id", F.posexplode("tokens").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "id")
     small, links = [], spark.createDataFrame([], "a long, b long")
+    comps = spark.createDataFrame([], "node long, component long")
     key = F.struct(F.xxhash64("id"), F.col("id"))
     for depth in range(DEPTH + 1):
         at = save(at, "nodes")
@@ -207,8 +206,9 @@ def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[
         rows = save(at.join(bounded(large.select("node", "rows", "leader"), n_large), "node"), "large")
         pairs = rows.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
         pairs = save(pairs.join(links, ["a", "b"], "left_anti"), "pairs")
-        links = save(links.union(_confirmed(pairs, docs, sets, width, percent)).distinct(), "links")
-        rows = save(_with_components(rows, save(components(links), "components")), "large")
+        found = _confirmed(pairs, docs, sets, width, percent)
+        links, comps = links.union(found), save(extended(comps, found), "components")
+        rows = save(_with_components(rows, comps), "large")
         # Only rows beside a node's largest component have anything to ask: they are compared with all if this is little work.
         asks = rows.groupBy("node", "component").agg(F.count("*").alias("own")).groupBy("node").agg(F.sum("own").alias("all"), F.max("own").alias("main"))
         asks = save(asks.where(F.col("all") > F.col("main")), "asks")
@@ -235,7 +235,7 @@ def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[
     nodes = small[0]
     for more in small[1:]:
         nodes = nodes.unionByName(more)
-    return save(nodes.distinct(), "small"), links
+    return save(nodes.distinct(), "small"), links, comps
 
 
 def near_components(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
@@ -271,23 +271,17 @@ def near_components(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     sets = sets.select("sign", "n", F.col("first.doc_id").alias("doc"), F.col("first.digest").alias("digest"), "tokens", "sketch")
     sets = save(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
-    nodes, links = _nodes(sets, docs, width, percent)
-    known, comps, n_links = links, None, 0
+    nodes, known, comps = _nodes(sets, docs, width, percent)
     for top in ROUNDS:
-        if (now := links.count()) > n_links:
-            comps, n_links = save(components(links), "components"), now
-        at = _with_components(nodes, comps)
+        at = save(_with_components(nodes, comps), "at")
         # A node within one component has no more to say.
-        at = save(at, "at")
         at = at.join(_mixed(at), "node", "left_semi").join(sets.select("id", "n", "sketch"), "id")
         at = at.select("node", "id", "n", "sketch", "component").repartition("node").sortWithinPartitions("node")
         pairs = at.mapInArrow(_compare(percent, top), "a long, b long").distinct()
-        pairs = save(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        links = save(links.union(_confirmed(pairs, docs, sets, width, percent)).distinct(), "links")
-        known = save(known.union(pairs), "known")
+        pairs = save(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+        comps = save(extended(comps, _confirmed(pairs, docs, sets, width, percent)), "components")
+        known = known.union(pairs)
 
-    if links.count() > n_links or comps is None:
-        comps = save(components(links), "components")
     linked = save(sets.join(comps.withColumnRenamed("node", "id"), "id").select("sign", "n", "doc", "component"), "linked")
     lowest = save(linked.groupBy("component").agg(F.min("doc").alias("low")), "lowest")
     lows = linked.join(bounded(lowest, lowest.count()), "component").select("sign", "n", "low", F.lit(True).alias("links"))
