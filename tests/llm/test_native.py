@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.contamination import contained, decontaminated
 from tidemark.llm.exact import CHUNK, drop_exact_copies, exact_groups
+from tidemark.llm.jaccard import one_of_each
 from tidemark.llm.licences import learn, licence_paragraphs
 from tidemark.llm.lines import drop_repeated_lines
 from tidemark.llm.shards import lookup_table, place
@@ -104,3 +105,19 @@ def test_licences(documents, rows_of):
         [(100, 1, "MIT"), (101, 0, "Apache-2.0"), (102, 0, "GPL"), (None, 0, "Proprietary")], key=repr
     )
     assert licence_paragraphs(docs.where("false"), learn(docs)).count() == 0
+
+
+NAMES = "doc sign starts lines id digest sha gone winner _id _digest _sha _gone _sign _lines __id component stays times".split()
+
+
+@pytest.mark.parametrize("work", [drop_repeated_lines, drop_exact_copies, one_of_each, lambda docs: decontaminated(docs, docs.sparkSession.createDataFrame([(1, "p q r s t u")], "item_id long, text string"))])
+def test_own_columns_of_any_name_stay(documents, rows_of, work):
+    docs = documents((1, "a\nb\nc\nd"), (2, "a\nb\nc\nd"), (2, "a\nb\nc\nd"), (3, "p q r s t u"), (None, None), extra=";".join(f"'{n}' AS {n}" for n in NAMES))
+    got = work(docs)
+    assert got.columns[:2] == ["doc_id", "text"] and set(NAMES) <= set(got.columns)
+    kept = {
+        drop_repeated_lines: [1, 2, 2, 3, None], drop_exact_copies: [2, 3, None], one_of_each: [1, 3, None],
+    }.get(work, [1, 2, 2, None])
+    rows = got.collect()
+    assert sorted((r.doc_id for r in rows), key=repr) == sorted(kept, key=repr)
+    assert all(r[n] == n for r in rows for n in NAMES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.native_words import bounded, digest, shingles, words
+from tidemark.llm.native_words import bounded, digest, shingles, spare, words
 from tidemark.session import save
 
 WIDTH, PERCENT = 5, 75
@@ -86,9 +86,10 @@ def decontaminated(docs: DataFrame, items: DataFrame, unnamed: bool = False) ->
     texts = docs if unnamed else docs.where("doc_id is not null")
     texts = texts.select(digest().alias("doc_id"), words(F.col("text").cast("string")).alias("words"))
     gone = _contained(texts, items.select(F.lit(0).alias("item_id"), "text"))
-    gone = save(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    (name,) = spare(docs, "gone")
+    gone = save(gone.select(F.col("doc_id").alias(name)).distinct(), "gone")
     decided = F.lit(True) if unnamed else F.col("doc_id").isNotNull()
-    return docs.join(bounded(gone, gone.count()), decided & (digest() == F.col("_gone")), "left_anti")
+    return docs.join(bounded(gone, gone.count()), decided & (digest() == F.col(name)), "left_anti")
 
 
 SQL = r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.native_words import bounded
+from tidemark.llm.native_words import bounded, spare
 from tidemark.session import save
 
 #: A chunk ends where the text says so: after white space, f or t, and a letter of a-h,
@@ -67,15 +67,16 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """
     groups = exact_groups(docs).where("group_size > 1").select("doc_id", F.unhex("text_sha256").alias("digest"), "kept")
     # Rows are told by doc_id and text; a pair with both kept and dropped rows stands for repeated rows.
+    id_, digest, sha = spare(docs, "id", "digest", "sha")
     pairs = groups.groupBy("doc_id", "digest").agg(F.max("kept").alias("stays"), F.count("*").alias("times"))
-    pairs = save(pairs.where("times > 1 or not stays").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "stays"), "pairs")
+    pairs = save(pairs.where("times > 1 or not stays").select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), "stays"), "pairs")
     stay = save(pairs.where("stays").drop("stays"), "repeated")
-    marked = docs.withColumn("_sha", F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest"))
+    marked = docs.withColumn(sha, F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(sha) == F.col(digest))
     # The texts stay where they are if the rows to drop are few enough to be sent to them.
     others = marked.join(bounded(pairs.drop("stays"), pairs.count()), same, "left_anti")
-    again = marked.join(bounded(stay, stay.count()), same, "left_semi").dropDuplicates(["doc_id", "_sha"])
-    return others.unionByName(again).drop("_sha")
+    again = marked.join(bounded(stay, stay.count()), same, "left_semi").dropDuplicates(["doc_id", sha])
+    return others.unionByName(again).drop(sha)
 
 
 SQL = """

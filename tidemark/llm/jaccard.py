@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.native_words import bounded, digest
+from tidemark.llm.native_words import bounded, digest, spare
 from tidemark.llm.words import mix, release, shingle_sets
 from tidemark.session import save
 
@@ -319,6 +319,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame
     for itself. Texts move only where several of them share the smallest doc_id
     of a component.
     """
+    id_, own, sha = spare(docs, "id", "digest", "sha")
     members, ids, comps = _grouped(docs, width, percent, True)
     sets = ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("sign", "n", F.coalesce("component", "id").alias("component"))
     keys = members.join(sets, ["sign", "n"]).groupBy("component", "doc_id", "digest").agg(F.count("*").alias("times"))
@@ -329,22 +330,22 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame
     first = keys.where("doc_id <=> low").select("component", "doc_id", "digest")
     tied = save(first.groupBy("component").agg(F.count("*").alias("texts")).where("texts > 1").select("component"), "tied")
     tied = bounded(tied, tied.count())
-    ties = save(first.join(tied, "component", "left_semi").select("component", F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")), "ties")
-    marked = docs.withColumn("_sha", digest())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest"))
-    texts = marked.select("doc_id", F.col("text").cast("string").alias("text"), "_sha").join(bounded(ties, ties.count()), same)
-    smallest = texts.groupBy("component").agg(F.min(F.struct("text", "_sha")).alias("least")).select("component", "least._sha")
+    ties = save(first.join(tied, "component", "left_semi").select("component", F.col("doc_id").alias(id_), F.col("digest").alias(own)), "ties")
+    marked = docs.withColumn(sha, digest())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(sha) == F.col(own))
+    texts = marked.select("doc_id", F.col("text").cast("string").alias("text"), sha).join(bounded(ties, ties.count()), same)
+    smallest = texts.groupBy("component").agg(F.min(F.struct("text", sha)).alias("least")).select("component", F.col(f"least.{sha}").alias("winner"))
     # A component of one doc_id and text is its own winner; of the tied ones the smallest text is.
-    stays = first.join(tied, "component", "left_anti").select("component", F.col("digest").alias("_sha")).unionByName(smallest)
+    stays = first.join(tied, "component", "left_anti").select("component", F.col("digest").alias("winner")).unionByName(smallest)
     stays = save(stays, "stays")
     keys = keys.join(bounded(stays, stays.count()), "component")
-    stay = (F.col("doc_id").eqNullSafe(F.col("low"))) & (F.col("digest") == F.col("_sha"))
-    keys = keys.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), stay.alias("stays"), "times")
-    gone = save(keys.where("times > 1 or not stays").select("_id", "_digest", "stays"), "gone")
-    repeated = save(gone.where("stays").select("_id", "_digest"), "repeated")
+    stay = (F.col("doc_id").eqNullSafe(F.col("low"))) & (F.col("digest") == F.col("winner"))
+    keys = keys.select(F.col("doc_id").alias(id_), F.col("digest").alias(own), stay.alias("stays"), "times")
+    gone = save(keys.where("times > 1 or not stays").select(id_, own, "stays"), "gone")
+    repeated = save(gone.where("stays").select(id_, own), "repeated")
     n_repeated = repeated.count()
     others = marked.join(bounded(gone.drop("stays"), gone.count()), same, "left_anti")
     if n_repeated:
-        again = marked.join(bounded(repeated, n_repeated), same, "left_semi").dropDuplicates(["doc_id", "_sha"])
+        again = marked.join(bounded(repeated, n_repeated), same, "left_semi").dropDuplicates(["doc_id", sha])
         others = others.unionByName(again)
-    return others.drop("_sha")
+    return others.drop(sha)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.native_words import spare
 from tidemark.session import save
 
 
@@ -38,17 +39,19 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     covered = later.groupBy("doc", "sign").agg(F.collect_set("at").alias("starts"))  # at most the lines of one text
 
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    marked = docs.select(*own).withColumn("_sign", F.when(F.col("text").isNotNull(), F.xxhash64(F.col("text").cast("string"))))
-    joined = marked.join(covered, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("_sign") == F.col("sign")), "left")
-    joined = joined.withColumn("_lines", F.split(F.col("text").cast("string"), "\n"))
-    cut = F.array_distinct(F.flatten(F.transform("starts", lambda p: F.array(p, p + 1, p + 2))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), cut)
-    text = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
+    doc, sign, starts, own_sign, lines = spare(docs, "doc", "sign", "starts", "own_sign", "lines")
+    covered = covered.select(F.col("doc").alias(doc), F.col("sign").alias(sign), F.col("starts").alias(starts))
+    marked = docs.select(*own).withColumn(own_sign, F.when(F.col("text").isNotNull(), F.xxhash64(F.col("text").cast("string"))))
+    joined = marked.join(covered, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own_sign) == F.col(sign)), "left")
+    joined = joined.withColumn(lines, F.split(F.col("text").cast("string"), "\n"))
+    cut = F.array_distinct(F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2))))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut)
+    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     joined = joined.withColumns(
         {
-            "text": F.when(F.col("starts").isNull(), F.col("text").cast("string")).otherwise(text),
-            "n_lines": F.coalesce(F.greatest(F.size("_lines"), F.lit(0)), F.lit(0)).cast("long"),
-            "n_removed": F.coalesce(F.when(F.col("starts").isNotNull(), F.size(cut)), F.lit(0)).cast("long"),
+            "text": F.when(F.col(starts).isNull(), F.col("text").cast("string")).otherwise(text),
+            "n_lines": F.coalesce(F.greatest(F.size(lines), F.lit(0)), F.lit(0)).cast("long"),
+            "n_removed": F.coalesce(F.when(F.col(starts).isNotNull(), F.size(cut)), F.lit(0)).cast("long"),
         }
     )
     return joined.select(*own, "n_lines", "n_removed")

@@ -31,6 +31,14 @@ def digest() -> Column:
     return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
 
 
+def spare(docs: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores before them as it takes for none to be a column of ``docs``."""
+    taken, lead = {c.lower() for c in docs.columns}, "_"
+    while any(lead + name in taken for name in names):
+        lead += "_"
+    return [lead + name for name in names]
+
+
 def bounded(table: DataFrame, rows: int) -> DataFrame:
     """A hint to broadcast ``table`` if its ``rows``, counted before, are few enough; else it is shuffled."""
     return F.broadcast(table) if rows <= BROADCAST_ROWS else table
