@@ -14,8 +14,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def some_of_each(rows: DataFrame, label: str, most: int) -> DataFrame:
     """At most ``most`` rows of each label, by a hash of doc_id.
 
-    Each task keeps its first rows of a label, so a label on most of the table
-    sends few rows.
+    Up to 1,000 rows the engine keeps the first rows of a label in each task; beyond
+    that number all ids of a label are sorted in one task, which grows with the table.
     """
     order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
     return rows.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= most).drop("_nth")
