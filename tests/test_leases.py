@@ -8,7 +8,7 @@ from tidemark.operators import leases
 from tidemark.operators.history import HISTORY_COLUMNS, HISTORY_SCHEMA
 from tidemark.session import scratch_path
 from tidemark.streaming.ingest import ingest_stream, late_rows
-from tidemark.streaming.leases import lease_grants_stream, lease_sessions_stream
+from tidemark.streaming.leases import _covering, keep_sessions, lease_grants_stream, lease_sessions_stream, read_sessions
 from tidemark.streaming.mutations import apply_mutations, read_state, stream_mutations
 
 T0 = datetime(2025, 1, 1)
@@ -130,6 +130,38 @@ def test_sessions_stream_is_the_batch_without_open_spans(spark, rows_of):
     assert rows_of(got) == rows_of(closed) and len(rows_of(got)) == 3
 
 
+def test_kept_sessions_are_those_of_all_rows_after_each_trigger(spark, root, rows_of, monkeypatch):
+    monkeypatch.setattr(leases, "PART_BITS", 2)
+    rng = random.Random(8)
+    rows = [(rng.choice(["hot", "hot", "a", None]), at(rng.randrange(-300, 1500)), rng.randrange(7)) for _ in range(300)]
+    df = spark.createDataFrame([*rows, ("a", None, 2)], "k string, ts timestamp, part int")
+    batches = [F.col("part") == n for n in range(7)]
+    keep_sessions(as_stream(spark, df, batches), root, f"{root}-state", "k", "ts", 7).awaitTermination()
+    got = read_sessions(spark, root, "k", 7)
+    assert rows_of(got.drop("is_open")) == rows_of(leases.lease_sessions(df, "k", "ts", 7))
+    assert spark.read.parquet(root).select("batch").distinct().count() == 7
+    newest = max(t for _, t, _ in rows)
+    assert all(r.is_open == (r.session_end >= newest) for r in got.collect())
+
+
+def test_kept_sessions_join_by_a_late_row_and_stay_at_a_restart(spark, root, rows_of):
+    df = spark.createDataFrame([("k", at(t), t == 10) for t in (0, 5, 15, 20, 900, 10)], "k string, ts timestamp, late boolean")
+    stream = as_stream(spark, df, [~F.col("late")])
+    for _ in range(2):  # the second start finds nothing new
+        keep_sessions(stream, root, f"{root}-state", "k", "ts", 6).awaitTermination()
+        assert [(r[1], r[2], r[3]) for r in rows_of(read_sessions(spark, root, "k", 6))] == [
+            (at(0), at(11), 2), (at(15), at(26), 2), (at(900), at(906), 1)
+        ]
+    keep_sessions(as_stream(spark, df, [F.col("late")]), root, f"{root}-other", "k", "ts", 6).awaitTermination()
+    assert rows_of(read_sessions(spark, root, "k", 6)) == [("k", at(0), at(26), 5, False), ("k", at(900), at(906), 1, True)]
+
+
+def test_folders_of_batches_cover_each_batch_once():
+    for last in range(1, 70):
+        held = [b for n in _covering(last) for b in range(n - (n & -n) + 1, n + 1)]
+        assert sorted(held) == list(range(1, last + 1)) and len(_covering(last)) <= 7
+
+
 def test_ingest_keeps_late_rows_and_drops_repeats(spark, root):
     rows = [(1, at(86400 * 5)), (1, at(86400 * 5)), (2, at(0)), (3, at(86400 * 5 + 60))]
     df = spark.createDataFrame(rows, "id int, ts timestamp")

@@ -9,6 +9,7 @@ from tidemark.checks.base import HIST, HIST_COLUMNS, Checks, Given, hist, plain_
 from tidemark.operators import leases
 from tidemark.session import scratch_path
 from tidemark.streaming.ingest import ingest_stream as ingest
+from tidemark.streaming.leases import keep_sessions, read_sessions
 from tidemark.streaming.leases import lease_grants_stream as grants_of_stream
 from tidemark.streaming.leases import lease_sessions_stream as sessions_of_stream
 from tidemark.streaming.mutations import read_state
@@ -78,6 +79,17 @@ def lease_sessions_stream(g: Given) -> DataFrame:
     return plain_time(drained(g, spans, "sessions"), "session_start", "session_end")
 
 
+@CHECKS.add(SESSIONS)
+def lease_sessions_kept(g: Given) -> DataFrame:
+    """All spans, open ones too; a second stream brings every third event late and joins spans."""
+    root = scratch_path(g.spark, "kept")
+    for late in (False, True):
+        events = event_stream(g).filter((F.col("event_id") % 3 == 0) == late)
+        keep_sessions(events, root, scratch_path(g.spark, "kept-state"), "user_id", "ts", TTL).awaitTermination()
+    spans = read_sessions(g.spark, root, "user_id", TTL).drop("is_open")
+    return plain_time(spans, "session_start", "session_end")
+
+
 def requests(df: DataFrame) -> DataFrame:
     """Events as lease requests for 64 keys; a purchase is a release."""
     return df.select(

@@ -18,7 +18,8 @@ PART_BITS = 12  # time slices of one part of a key
 def _islands(df: DataFrame, keys: list[str], ttl: int) -> DataFrame:
     """Number the runs of spans ``(s, e)`` with gaps of at most ``ttl``."""
     order = W.partitionBy(*keys).orderBy("s")
-    starts = F.coalesce(F.col("s") - F.lag("e").over(order) > ttl, F.lit(True))
+    reached = F.max("e").over(order.rowsBetween(W.unboundedPreceding, -1))
+    starts = F.coalesce(F.col("s") - reached > ttl, F.lit(True))
     return df.withColumn("_starts", starts.cast("int")).withColumn(
         "island", F.sum("_starts").over(order)
     )
@@ -30,24 +31,45 @@ def _spans(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def lease_sessions(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
-    """Per key the spans in which each refresh came within the TTL of the last.
+def span_slices(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
+    """Spans ``(key, s, e, n)`` in microseconds, one for each TTL-wide slice of time that has refreshes.
 
-    All refreshes within one TTL-wide slice of time belong together, so slices
-    are aggregated per task before anything moves. Slices then join up inside
-    parts of a key; only the first and last span of a part can touch another
-    part, and only these meet in a window over the key.
+    All refreshes within one slice belong together, so they are aggregated per
+    task before anything moves. Refreshes without a time count for nothing.
     """
     ttl = ttl_seconds * MICROS
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     times = events.select(F.col(key), at.alias("s")).filter("s IS NOT NULL")
-    slices = (
+    return (
         times.withColumn("slice", F.expr(f"(s - pmod(s, {ttl}L)) DIV {ttl}L"))
         .groupBy(key, "slice")
         .agg(F.min("s").alias("s"), F.max("s").alias("e"), F.count("*").alias("n"))
-        .withColumn("part", F.shiftright("slice", PART_BITS))
+        .drop("slice")
+    )
+
+
+def merge_spans(spans: DataFrame, key: str, ttl_seconds: int) -> DataFrame:
+    """Spans ``(key, s, e, n)`` with gaps of at most the TTL joined to one; they may overlap in any way.
+
+    Spans are cut where a part of a key's time ends and join up inside parts of
+    a key; only the first and last span of a part can touch another part, and
+    only these meet in a window over the key.
+    """
+    ttl = ttl_seconds * MICROS
+    width = ttl << PART_BITS
+    first, last = (F.expr(f"({c} - pmod({c}, {width}L)) DIV {width}L") for c in ("s", "e"))
+    pieces = spans.select(key, "s", "e", "n", first.alias("own"), F.explode(F.sequence(first, last)).alias("part")).select(
+        key,
+        "part",
+        F.greatest("s", F.col("part") * width).alias("s"),
+        F.least("e", (F.col("part") + 1) * width).alias("e"),
+        F.when(F.col("part") == F.col("own"), F.col("n")).otherwise(0).alias("n"),
     )
-    spans = _spans(_islands(slices, [key, "part"], ttl), [key, "part", "island"])
+    return _joined_parts(pieces, key, ttl)
+
+
+def _joined_parts(pieces: DataFrame, key: str, ttl: int) -> DataFrame:
+    spans = _spans(_islands(pieces, [key, "part"], ttl), [key, "part", "island"])
     last = F.max("island").over(W.partitionBy(key, "part"))
     inner = (F.col("island") > 1) & (F.col("island") < last)
     # An inner span is complete and keeps its own group in the second round.
@@ -60,15 +82,28 @@ def lease_sessions(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> Da
         F.when(F.col("inner"), F.col("island")).alias("own_island"),
     )
     own = [key, "own_part", "own_island"]
-    whole = _spans(_islands(spans, own, ttl), [*own, "island"])
-    return whole.select(
+    return _spans(_islands(spans, own, ttl), [*own, "island"]).select(key, "s", "e", "n")
+
+
+def as_sessions(spans: DataFrame, key: str, ttl_seconds: int, *more: str) -> DataFrame:
+    """Spans with times and the end of the lease, which is one TTL after the last refresh."""
+    return spans.select(
         key,
         F.timestamp_micros("s").alias("session_start"),
-        F.timestamp_micros(F.col("e") + ttl).alias("session_end"),
+        F.timestamp_micros(F.col("e") + ttl_seconds * MICROS).alias("session_end"),
         F.col("n").alias("n_refreshes"),
+        *more,
     )
 
 
+def lease_sessions(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
+    """Per key the spans in which each refresh came within the TTL of the last."""
+    ttl = ttl_seconds * MICROS
+    slices = span_slices(events, key, ts, ttl_seconds)
+    pieces = slices.withColumn("part", F.shiftright(F.expr(f"(s - pmod(s, {ttl}L)) DIV {ttl}L"), PART_BITS))
+    return as_sessions(_joined_parts(pieces, key, ttl), key, ttl_seconds)
+
+
 def lease_grants(
     events: DataFrame,
     key: str,
