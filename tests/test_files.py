@@ -12,17 +12,17 @@ from tidemark.plans.files import (
 from tidemark.plans.migrate import ChangedStep
 
 FIRST = """-- tables
-CREATE TABLE ${schema}.some_table(id INT, text STRING) USING parquet;
-CREATE TABLE some_table_2(id INT, some_table_id INT) USING parquet;
+CREATE TABLE ${schema}.stations(code INT, label STRING) USING parquet;
+CREATE TABLE tides(station INT, metres INT) USING parquet;
 
-INSERT INTO ${schema}.some_table(id, text) VALUES (1, 'first; row');
-INSERT INTO ${schema}.some_table(id, text) VALUES (2, '');
+INSERT INTO ${schema}.stations(code, label) VALUES (1, 'Dover; pier');
+INSERT INTO ${schema}.stations(code, label) VALUES (2, '');
 """
-SECOND = """CREATE FUNCTION ${schema}.some_is_empty(a STRING) RETURNS BOOLEAN RETURN a = '';
-CREATE VIEW ${schema}.some_view AS
-SELECT * FROM ${schema}.some_table WHERE NOT ${schema}.some_is_empty(text);
+SECOND = """CREATE FUNCTION ${schema}.is_unnamed(label STRING) RETURNS BOOLEAN RETURN label = '';
+CREATE VIEW ${schema}.named_stations AS
+SELECT * FROM ${schema}.stations WHERE NOT ${schema}.is_unnamed(label);
 """
-MORE = "INSERT INTO ${schema}.some_table(id, text) VALUES (3, 'third')"
+MORE = "INSERT INTO ${schema}.stations(code, label) VALUES (3, 'Leith')"
 
 
 @pytest.fixture
@@ -34,8 +34,8 @@ def schema(spark):
 
 @pytest.fixture
 def folder(tmp_path):
-    (tmp_path / "V001__first.sql").write_text(FIRST)
-    (tmp_path / "V002__second.sql").write_text(SECOND)
+    (tmp_path / "V001__stations.sql").write_text(FIRST)
+    (tmp_path / "V002__names.sql").write_text(SECOND)
     return tmp_path
 
 
@@ -50,16 +50,16 @@ def test_migrate_repeat_next_and_clean(spark, schema, folder, rows_of):
     assert migrate_files(spark, str(folder), schema) == []
     assert spark.catalog.currentDatabase() == before
     tables = {t.name for t in spark.catalog.listTables(schema)}
-    assert tables == {"schema_history", "some_table", "some_table_2", "some_view"}
-    assert rows_of(spark.table(f"{schema}.some_view")) == [(1, "first; row")]
-    assert history(spark, schema) == [(1, "001", "first", True), (2, "002", "second", True)]
+    assert tables == {"named_stations", "schema_history", "stations", "tides"}
+    assert rows_of(spark.table(f"{schema}.named_stations")) == [(1, "Dover; pier")]
+    assert history(spark, schema) == [(1, "001", "stations", True), (2, "002", "names", True)]
 
-    (folder / "V003__add_more_rows.sql").write_text(MORE)
+    (folder / "V003__one_more_station.sql").write_text(MORE)
     assert migrate_files(spark, str(folder), schema) == ["003"]
-    assert spark.table(f"{schema}.some_table").count() == 3
-    assert history(spark, schema)[-1] == (3, "003", "add more rows", True)
+    assert spark.table(f"{schema}.stations").count() == 3
+    assert history(spark, schema)[-1] == (3, "003", "one more station", True)
 
-    (folder / "V001__first.sql").write_text(FIRST + "-- edited")
+    (folder / "V001__stations.sql").write_text(FIRST + "-- edited")
     with pytest.raises(ChangedStep, match="001"):
         migrate_files(spark, str(folder), schema)
 
@@ -79,10 +79,10 @@ def test_target_and_baseline(spark, schema, folder):
 
 def test_failure_is_recorded_and_repaired(spark, schema, folder):
     bad = folder / "V001_1__bad.sql"
-    bad.write_text("INSERT INTO some_table VALUES (7, 'x'); SELECT * FROM nowhere")
+    bad.write_text("INSERT INTO stations VALUES (7, 'x'); SELECT * FROM nowhere")
     with pytest.raises(Exception, match="nowhere"):
         migrate_files(spark, str(folder), schema)
-    assert [h[1:] for h in history(spark, schema)] == [("001", "first", True), ("001_1", "bad", False)]
+    assert [h[1:] for h in history(spark, schema)] == [("001", "stations", True), ("001_1", "bad", False)]
     repair_schema(spark, schema)
     bad.write_text("SELECT 1")
     assert migrate_files(spark, str(folder), schema) == ["001_1", "002"]

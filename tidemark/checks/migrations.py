@@ -30,18 +30,18 @@ def trades(g: Given) -> DataFrame:
 
 def trade_steps(g: Given) -> list[steps.Step]:
     return [
-        steps.step("1", "Create trades table", steps.create_table("trades", TRADE_COLUMNS)),
-        steps.step("2", "Insert trades", steps.insert_rows("trades", trades(g))),
-        steps.step("3", "Rename table", steps.rename_table("trades", "trades_table")),
+        steps.step("1", "Trades as they come in", steps.create_table("trades", TRADE_COLUMNS)),
+        steps.step("2", "One trade for each order line", steps.insert_rows("trades", trades(g))),
+        steps.step("3", "Out of the way for a while", steps.rename_table("trades", "trades_table")),
         steps.step(
             "4",
-            "Add venue column",
+            "Back again, with the place of trade",
             steps.rename_table("trades_table", "trades"),
             steps.add_column("trades", "venue", "string"),
         ),
-        steps.step("5", "Alter column type", steps.change_type("trades", "qty", "int")),
-        steps.step("6", "Drop venue column", steps.drop_column("trades", "venue")),
-        steps.step("7", "Drop trades table", steps.drop_table("trades")),
+        steps.step("5", "Whole quantities only", steps.change_type("trades", "qty", "int")),
+        steps.step("6", "No place of trade after all", steps.drop_column("trades", "venue")),
+        steps.step("7", "No trades any more", steps.drop_table("trades")),
     ]
 
 
@@ -63,13 +63,13 @@ def migrate_trades(g: Given) -> DataFrame:
 
 @CHECKS.add(
     """SELECT * FROM (VALUES
-      (1, '1', 'Create trades table', 'V1__Create_trades_table.sql', true),
-      (2, '2', 'Insert trades', 'V2__Insert_trades.sql', true),
-      (3, '3', 'Rename table', 'V3__Rename_table.sql', true),
-      (4, '4', 'Add venue column', 'V4__Add_venue_column.sql', true),
-      (5, '5', 'Alter column type', 'V5__Alter_column_type.sql', true),
-      (6, '6', 'Drop venue column', 'V6__Drop_venue_column.sql', true),
-      (7, '7', 'Drop trades table', 'V7__Drop_trades_table.sql', true)
+      (1, '1', 'Trades as they come in', 'V1__Create_trades_table.sql', true),
+      (2, '2', 'One trade for each order line', 'V2__Insert_trades.sql', true),
+      (3, '3', 'Out of the way for a while', 'V3__Rename_table.sql', true),
+      (4, '4', 'Back again, with the place of trade', 'V4__Add_venue_column.sql', true),
+      (5, '5', 'Whole quantities only', 'V5__Alter_column_type.sql', true),
+      (6, '6', 'No place of trade after all', 'V6__Drop_venue_column.sql', true),
+      (7, '7', 'No trades any more', 'V7__Drop_trades_table.sql', true)
     ) AS t(installed_rank, version, description, script, success)"""
 )
 def drop_table(g: Given) -> DataFrame:

@@ -154,7 +154,9 @@ def classify_statements(statements: DataFrame) -> DataFrame:
     return statements.withColumns({"kind": kind, "transactional": ~ddl})
 
 
-CALL = r"(?is)^\s*CALL\s+((?:[^\s(]+\.)?[^\s(]+)\s*(?:\(\s*(.*?)\s*\))?\s*$"
+#: A procedure is plain or quoted parts joined by dots; its arguments may be left out.
+PART = r"(?:[^\s().\"`]++|\"[^\"]*+\"|`[^`]*+`)"
+CALL = rf"(?is)\A\s*+CALL\s++({PART}(?:\.{PART})*+)\s*+(?:\((.*)\)\s*+)?+\z"
 COMMENT = rf"{LINE_COMMENT}|{BLOCK_COMMENT}"
 LITERAL = r"'[^']*+'|\"[^\"]*+\"|`[^`]*+`|" + DOLLAR_QUOTED
 
@@ -175,7 +177,7 @@ def extract_calls(statements: DataFrame, path: str = "path", bare: bool = False)
     """
     found = statements.filter(F.col("sql").rlike("(?i)CALL")).withColumn("sql", _uncommented(F.col("sql")))
     found = found.filter(F.col("sql").rlike(CALL))
-    args = F.regexp_extract("sql", CALL, 2)
+    args = F.trim(F.regexp_extract("sql", CALL, 2), F.lit(" \t\r\n\f\v"))
     found = found if bare else found.filter(args != "")
     calls = found.select(
         path,
