@@ -63,13 +63,13 @@ def migrate_trades(g: Given) -> DataFrame:
 
 @CHECKS.add(
     """SELECT * FROM (VALUES
-      (1, '1', 'Trades as they come in', 'V1__Create_trades_table.sql', true),
-      (2, '2', 'One trade for each order line', 'V2__Insert_trades.sql', true),
-      (3, '3', 'Out of the way for a while', 'V3__Rename_table.sql', true),
-      (4, '4', 'Back again, with the place of trade', 'V4__Add_venue_column.sql', true),
-      (5, '5', 'Whole quantities only', 'V5__Alter_column_type.sql', true),
-      (6, '6', 'No place of trade after all', 'V6__Drop_venue_column.sql', true),
-      (7, '7', 'No trades any more', 'V7__Drop_trades_table.sql', true)
+      (1, '1', 'Trades as they come in', 'V1__Trades_as_they_come_in.sql', true),
+      (2, '2', 'One trade for each order line', 'V2__One_trade_for_each_order_line.sql', true),
+      (3, '3', 'Out of the way for a while', 'V3__Out_of_the_way_for_a_while.sql', true),
+      (4, '4', 'Back again, with the place of trade', 'V4__Back_again,_with_the_place_of_trade.sql', true),
+      (5, '5', 'Whole quantities only', 'V5__Whole_quantities_only.sql', true),
+      (6, '6', 'No place of trade after all', 'V6__No_place_of_trade_after_all.sql', true),
+      (7, '7', 'No trades any more', 'V7__No_trades_any_more.sql', true)
     ) AS t(installed_rank, version, description, script, success)"""
 )
 def drop_table(g: Given) -> DataFrame:
