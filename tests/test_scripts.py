@@ -144,3 +144,16 @@ def test_version_gate(spark):
         "ok",
         "unknown",
     ]
+
+
+def test_pieces_stay_in_their_task(spark):
+    """Only whole scripts are dealt to the tasks: no sort, window or second shuffle of their many pieces."""
+    text = "BEGIN a; END; /* ; */ CREATE TABLE IF NOT EXISTS b; " * 2_000
+    df = spark.createDataFrame([(7, text), (8, None)], "path long, text string")
+    got = statements.split_statements(df, "db2z")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Sort" not in plan
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [("path", "bigint"), ("stmt_no", "int"), ("sql", "string")]
+    rows = got.orderBy("stmt_no").collect()
+    assert [(r["path"], r["stmt_no"]) for r in rows] == [(7, n) for n in range(1, 4_001)]
+    assert {r["sql"] for r in rows} == {"BEGIN a; END", "CREATE TABLE IF NOT EXISTS b"}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from string import ascii_lowercase, ascii_uppercase
+import re
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tidemark.functions.macros import holds
 from tidemark.functions.scalars import split_args, unescape_sql_string
 
 # What the script dialects add to ``--`` comments, quoted text
@@ -32,13 +33,16 @@ BLOCK_COMMENT = r"/\*(?s:.*?)\*/"
 QUOTED = r"'[^']*+'|\"[^\"]*+\"|`[^`]*+`"
 DOLLAR_QUOTED = r"\$([A-Za-z0-9_]*+)\$(?s:.*?)\$\1\$"
 WORD = r"[A-Za-z_][A-Za-z0-9_]*+"
+OPENERS = {"BEGIN", *BLOCK_WORDS}
 MARKS = ["BEGIN", "END", *BLOCK_WORDS, *GUARD_WORDS]
 INITIALS = "".join(sorted({w[0] for w in MARKS}))
 BLOCK_WORD = rf"(?=[{INITIALS}{INITIALS.lower()}])(?i:{'|'.join(MARKS)})(?![A-Za-z0-9_])"
 PLAIN_RUN = r"[0-9(),.=<>+*:]++"
 TEXT_RUN = r"[^'\"`$;/-]++"
 ANY = r"(?s:.)"
-END = r"\z"
+END = r"\Z"
+#: Characters of statements that leave a task at once.
+BATCH = 1 << 22
 
 
 def _patterns(rules: dict) -> tuple[str, str, str]:
@@ -48,7 +52,7 @@ def _patterns(rules: dict) -> tuple[str, str, str]:
     may change the block depth, a directive, or the end of the script.
     """
     line = rf"(?!{TERMINATOR_DIRECTIVE}){LINE_COMMENT}" if rules.get("directives") else LINE_COMMENT
-    silent = [r"\s++", line, BLOCK_COMMENT]
+    silent = [r"[ \t-\r]++", line, BLOCK_COMMENT]
     if rules.get("slash_comments"):
         silent.append(SLASH_COMMENT)
     text = [*silent, QUOTED]
@@ -63,80 +67,92 @@ def _patterns(rules: dict) -> tuple[str, str, str]:
     return f"(?:{'|'.join(silent)})*+", f"(?:{'|'.join(text)})*+", f"(?:{'|'.join(mark)})"
 
 
-def _depth_change(path: str) -> Column:
-    """How a mark changes the block depth.
-
-    ``alone`` tells that only silence separates a mark from the one before.
-    """
-    order = W.partitionBy(path).orderBy("pos")
-    # Cheaper than upper(), which follows the rules of every language.
-    word = F.translate("mark", ascii_lowercase, ascii_uppercase)
-    before, before2 = F.lag(word, 1).over(order), F.lag(word, 2).over(order)
-    after, after2 = F.lead(word, 1).over(order), F.lead(word, 2).over(order)
-    close, close2 = F.lead("alone", 1).over(order), F.lead("alone", 2).over(order)
-
-    row = F.col("alone") & holds(before == "ROW")
-    row_begin = row & before2.isNotNull() & ~holds(before2 == "EACH")
-    guard = holds((after == "EXISTS") & close)
-    guard = guard | holds((after == "NOT") & close & (after2 == "EXISTS") & close2)
-    ddl = holds(before.isin("CREATE", "DROP"))
-    opens = ((word == "BEGIN") & ~row_begin) | word.isin(BLOCK_WORDS)
-    opens = opens & ~((word == "IF") & guard & ddl) & ~(F.col("alone") & holds(before == "END"))
-    closes = (word == "END") & ~row
-    return F.when(opens, 1).when(closes, -1).otherwise(0)
+def _depth_change(words: list[str], alone: Callable[[int], bool], i: int) -> int:
+    """How mark ``i`` changes the block depth; ``words`` are the marks in capitals."""
+    word, before = words[i], words[i - 1] if i else ""
+    if word == "END":
+        return 0 if before == "ROW" and alone(i) else -1
+    if word not in OPENERS or before == "END" and alone(i):
+        return 0
+    if word == "BEGIN" and before == "ROW" and i > 1 and words[i - 2] != "EACH" and alone(i):
+        return 0
+    if word == "IF" and before in ("CREATE", "DROP"):
+        at = i + 2 if words[i + 1] == "NOT" and alone(i + 1) else i + 1
+        if words[at] == "EXISTS" and alone(at):  # the last mark is no word
+            return 0
+    return 1
+
+
+def _statements(text: str, rules: dict, piece: re.Pattern, silence: re.Pattern) -> Iterator[str]:
+    """The statements of one script: a pass along its marks keeps the terminator in force and the block depth."""
+    spans = [(found.start(), found.start(piece.groups), found.end()) for found in piece.finditer(text)]
+    marks = [text[start:end] for _, start, end in spans]
+
+    def alone(i: int) -> bool:
+        """Whether only silence separates a mark from the one before."""
+        at, start, _ = spans[i]
+        return start == at or silence.fullmatch(text, at, start) is not None
+
+    words = [mark.upper() for mark in marks] if rules.get("blocks") else []
+    terminator, depth, low, parts = ";", 0, 0, []
+    for i, ((at, start, end), mark) in enumerate(zip(spans, marks)):
+        says = mark != ""
+        if len(mark) > 1 and mark.startswith(TERMINATOR_DIRECTIVE):
+            terminator, says = mark[len(TERMINATOR_DIRECTIVE) :].strip(" "), False
+        elif len(mark) > 1 and words:
+            depth += _depth_change(words, alone, i)
+            # A stray END does not count: depth is measured from its lowest point.
+            low = min(low, depth)
+        if not says and alone(i):
+            continue
+        if mark != terminator or depth != low:
+            parts.append(text[at : end if says else start])
+        elif parts or not alone(i):  # a terminator with nothing before it ends nothing
+            yield "".join([*parts, text[at:start]])
+            parts = []
+    if parts:
+        yield "".join(parts)
 
 
 def split_statements(scripts: DataFrame, dialect: str = "plain", path: str = "path") -> DataFrame:
     """One row ``(path, stmt_no, sql)`` per statement of each script.
 
     A script is cut at its marks, see ``_patterns``; everything else travels
-    with the mark after it. Running windows along a script find the terminator
-    in force, the block depth and the number of the statement. A terminator is
-    one character and ends a statement outside blocks only. Comments inside a
-    statement stay, comments before it go. ``path`` is unique.
+    with the mark after it. One pass along the marks finds the terminator in
+    force, the block depth and the end of each statement, so only scripts are
+    dealt to the tasks and never their many pieces. A terminator is one character
+    and ends a statement outside blocks only. Comments inside a statement stay,
+    comments before it go. ``path`` is unique.
     """
     rules = DIALECTS[dialect]
     silence, text, mark = _patterns(rules)
-    found = F.regexp_extract_all("text", F.lit(text + mark), F.lit(0))
-    # Whole scripts move, not their many pieces; the windows find them in place.
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Words and spaces of scripts are those of ASCII.
+        piece, silent = re.compile(f"{text}({mark})", re.ASCII), re.compile(silence, re.ASCII)
+
+        def table(paths: pa.Array, rows: list[int], numbers: list[int], sqls: list[str]) -> pa.RecordBatch:
+            columns = [paths.take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(sqls, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, [path, "stmt_no", "sql"])
+
+        for batch in batches:
+            paths, rows, numbers, sqls, size = batch.column(path), [], [], [], 0
+            for row, script in enumerate(batch.column("text")):
+                for number, sql in enumerate(_statements(script.as_py() or "", rules, piece, silent), 1):
+                    rows.append(row)
+                    numbers.append(number)
+                    sqls.append(sql[silent.match(sql).end() :].strip(" \t\r\n"))
+                    size += len(sql)
+                    if size > BATCH:
+                        yield table(paths, rows, numbers, sqls)
+                        rows, numbers, sqls, size = [], [], [], 0
+            if rows:
+                yield table(paths, rows, numbers, sqls)
+
     # The number of tasks is fixed: scripts are small before they are cut.
     tasks = int(scripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = scripts.repartition(tasks, path).select(path, F.posexplode(found).alias("pos", "piece"))
-    # The tag of dollar quotes is a group of its own, before that of the mark.
-    group = 2 if rules.get("dollar_quotes") else 1
-    pieces = pieces.withColumn("mark", F.regexp_extract("piece", rf"^{text}({mark})\z", group))
-    before_mark = F.substring("piece", F.lit(1), F.length("piece") - F.length("mark"))
-    pieces = pieces.withColumn("alone", before_mark.rlike(rf"^{silence}\z"))
-
-    order = W.partitionBy(path).orderBy("pos")
-    to_here = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    to_previous = order.rowsBetween(W.unboundedPreceding, -1)
-    directive = F.lit(False)
-    terminator: Column = F.lit(";")
-    if rules.get("directives"):
-        directive = F.startswith("mark", F.lit(TERMINATOR_DIRECTIVE))
-        told = F.trim(F.substring("mark", F.lit(len(TERMINATOR_DIRECTIVE) + 1), F.length("mark")))
-        last = F.last(F.when(directive, told), ignorenulls=True).over(to_here)
-        terminator = F.coalesce(last, F.lit(";"))
-    ends = F.col("mark") == terminator
-    if rules.get("blocks"):
-        pieces = pieces.withColumn("change", _depth_change(path))
-        pieces = pieces.withColumn("depth", F.sum("change").over(to_here))
-        # A stray END does not count: depth is measured from its lowest point.
-        ends = ends & (F.col("depth") == F.least(F.lit(0), F.min("depth").over(to_here)))
-    pieces = pieces.withColumns({"ends": ends, "says": ~directive & (F.col("mark") != "")})
-    pieces = pieces.filter("NOT alone OR says")
-    # A terminator with nothing before it does not number a statement.
-    closes = F.col("ends") & ~(F.col("alone") & F.lag("ends", 1, True).over(order))
-    pieces = pieces.withColumn("closes", closes.cast("int"))
-    number = F.coalesce(F.sum("closes").over(to_previous), F.lit(0)) + 1
-    body = F.when(F.col("ends") | ~F.col("says"), before_mark).otherwise(F.col("piece"))
-    texts = pieces.select(path, "pos", number.cast("int").alias("stmt_no"), "closes", "ends", body.alias("body"))
-    texts = texts.filter("closes = 1 OR NOT ends")
-    parts = F.array_sort(F.collect_list(F.struct("pos", "body")))
-    joined = F.array_join(F.transform(parts, lambda t: t["body"]), "")
-    sql = F.trim(F.regexp_replace(joined, f"^{silence}", ""), F.lit(" \t\r\n"))
-    return texts.groupBy(path, "stmt_no").agg(sql.alias("sql"))
+    schema = StructType([scripts.schema[path], StructField("stmt_no", IntegerType()), StructField("sql", StringType())])
+    return scripts.select(path, F.col("text").cast("string").alias("text")).repartition(tasks, path).mapInArrow(cut, schema)
 
 
 def _bare(sql: Column) -> Column:
@@ -164,7 +180,8 @@ LITERAL = r"'[^']*+'|\"[^\"]*+\"|`[^`]*+`|" + DOLLAR_QUOTED
 def _uncommented(sql: Column) -> Column:
     """Statement with a space for each comment; quoted text stays as it is."""
     pieces = F.regexp_extract_all(sql, F.lit(rf"{LITERAL}|{COMMENT}|[^'\"`$/-]++|{ANY}"), F.lit(0))
-    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(rf"^(?:{COMMENT})\z"), " ").otherwise(p)), "")
+    plain = F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(rf"^(?:{COMMENT})\z"), " ").otherwise(p)), "")
+    return F.when(F.contains(sql, F.lit("--")) | F.contains(sql, F.lit("/*")), plain).otherwise(sql)  # most have none
 
 
 def extract_calls(statements: DataFrame, path: str = "path", bare: bool = False) -> DataFrame:
