@@ -245,3 +245,18 @@ def test_next_position_across_blocks(spark):
     for r in got.collect():
         later = [p for p, k, hit in rows if k == r["k"] and hit and p > r["pos"]]
         assert r["nxt"] == (min(later) if later else None)
+
+
+def test_incoming_refs_sorts_by_name_first(spark):
+    """Schemas are few, so rows sorted by them first are compared in full."""
+    tables = spark.createDataFrame([("s", "t")], "table_schema string, table_name string")
+    cols = spark.createDataFrame([("s", "fk", "t")], "constraint_schema string, constraint_name string, table_name string")
+    names = "constraint_schema string, constraint_name string, unique_constraint_schema string, unique_constraint_name string"
+    links = spark.createDataFrame([("s", "fk", "s", "pk")], names)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = refs.incoming_refs(tables, links, cols)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin [constraint_name" in plan and "SortMergeJoin [unique_constraint_name" in plan

@@ -47,8 +47,9 @@ def incoming_refs(
         "unique_constraint_name",
     ).agg(F.count("*").alias("n_refs"))
     counts = (
-        links.join(source, ["constraint_schema", "constraint_name"])
-        .join(target, ["unique_constraint_schema", "unique_constraint_name"])
+        # Names come first: rows are sorted by them, and schemas, few, would tell hardly any apart.
+        links.join(source, ["constraint_name", "constraint_schema"])
+        .join(target, ["unique_constraint_name", "unique_constraint_schema"])
         .filter(other)
         .groupBy("unique_constraint_schema", "to_table", "constraint_schema", "constraint_name")
         .agg(F.sum(F.col("n_refs") * F.col("from_cols") * F.col("to_cols")).alias("pairs"))
