@@ -100,3 +100,23 @@ def test_minwise_tokens_agree_as_often_as_sets_do():
         common, one, two = rng.integers(0, 2**64, 170, np.uint64), rng.integers(0, 2**64, 15, np.uint64), rng.integers(0, 2**64, 15, np.uint64)
         shares.append(np.mean(near.minwise(np.concatenate([common, one])) == near.minwise(np.concatenate([common, two]))))
     assert abs(np.mean(shares) - 0.85) < 0.01
+
+
+@pytest.mark.parametrize("held", [1 << 20, 500])
+def test_no_table_holds_the_pairs_of_a_large_group(documents, rows_of, monkeypatch, held):
+    """Nearly all pairs of the group come near the threshold, and few of them link."""
+    monkeypatch.setattr(near, "HELD", held, raising=False)
+    made, save = [], near.save
+
+    def counted(df, label):
+        table = save(df, label)
+        made.append((table.count(), label))
+        return table
+
+    monkeypatch.setattr(near, "save", counted)
+    rng = random.Random(6)
+    base = [f"w{n}" for n in range(300)]
+    texts = [" ".join(f"x{rng.randrange(10**6)}" if n in at else w for n, w in enumerate(base)) for at in (rng.sample(range(300), 5) for _ in range(250))]
+    docs = list(enumerate(texts + copies(5, 4, 3, seed=5)))
+    assert rows_of(near_components(documents(*docs)), *COLUMNS) == brute(docs)
+    assert max(made)[0] <= near.TREES * 4 * len(docs), max(made)

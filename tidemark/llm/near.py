@@ -34,8 +34,10 @@ SMALL = 512
 ROOM, WORK = 1 << 16, 1 << 25
 #: Branches of a node that is not small, by different coordinates, and how often nodes may branch.
 BRANCHES, DEPTH = 2, 12
-#: Pairs of a row confirmed in each round, the most similar ones first; None stands for all that components leave open.
-ROUNDS = (4, None)
+#: Pairs of a row confirmed before its node's sets meet, the most similar ones.
+TOP = 4
+#: Shingles of the sets that ask in one task; those of a node that has more are dealt to several.
+HELD = 1 << 20
 #: Pairs whose estimate lies so many standard deviations below the threshold are not confirmed.
 SLACK = 3.5
 #: Shingles hashed at once.
@@ -106,69 +108,186 @@ def _equal_bytes(sketches: np.ndarray, one: np.ndarray, two: np.ndarray, sizes:
     return np.where((equal >= least) & (100 * low >= percent * high), equal, -1)
 
 
-def _pairs_within(ids, sketches, sizes, comps, percent: int, top: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a node across components that may link: the ``top`` most similar ones of each row, or all.
+def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Rows in order of nodes of at most ``ROOM`` rows, first row and number of rows of each; only the last node of a batch is held for the next."""
+
+    def whole(held: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        nodes = table.column("node").to_numpy()
+        starts = np.flatnonzero(np.diff(nodes, prepend=~nodes[:1]) != 0)
+        return table, starts, np.diff(np.append(starts, len(nodes)))
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        nodes = batch.column("node").to_numpy()
+        last = int(np.flatnonzero(np.diff(nodes, prepend=~nodes[:1]) != 0)[-1])
+        if last or (held and held[-1].column("node")[-1].as_py() != nodes[0]):
+            yield whole([*held, batch.slice(0, last)] if last else held)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield whole(held)
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(table), -1)
+    return table.column("id").to_numpy(), sketches, table.column("n").to_numpy().astype(np.int64), table.column("component").to_numpy()
+
+
+def _similar(sketches, sizes, comps, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each row of a node that asks, the rows of other components that it may link to, and their equal bytes.
 
     Rows of the largest component ask nothing; the others are compared with all.
     """
     _, code, n = np.unique(comps, return_inverse=True, return_counts=True)
-    asks = np.flatnonzero(code != n.argmax()) if n.max() > 1 else np.arange(len(ids))
+    asks = np.flatnonzero(code != n.argmax()) if n.max() > 1 else np.arange(len(comps))
     for k in asks.tolist():
         others = np.flatnonzero(comps != comps[k])
         equal = _equal_bytes(sketches, np.full(len(others), k), others, sizes, percent)
-        others, equal = others[equal >= 0], equal[equal >= 0]
-        if top is not None and len(others) > top:
-            others = others[np.lexsort((ids[others], -equal))[:top]]
-        if len(others):
-            yield np.minimum(ids[k], ids[others]), np.maximum(ids[k], ids[others])
+        if (equal >= 0).any():
+            yield k, others[equal >= 0], equal[equal >= 0]
 
 
-def _compare(percent: int, top: int | None):
+def _likeliest(percent: int, top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Nodes in order, of at most ``ROOM`` rows; only the last one of a batch is held for the next."""
-
-        def found(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(held)
-            nodes, ids = table.column("node").to_numpy(), table.column("id").to_numpy()
-            sizes, comps = table.column("n").to_numpy().astype(np.int64), table.column("component").to_numpy()
-            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-            starts = np.flatnonzero(np.diff(nodes, prepend=~nodes[:1]) != 0)
-            n = np.diff(np.append(starts, len(nodes)))
+        """Pairs across components that may link, the ``top`` most similar ones of each row; a node that has more gives a row without a pair."""
+        for table, starts, n in _whole_nodes(batches):
+            nodes, (ids, sketches, sizes, comps) = table.column("node").to_numpy(), _columns(table)
             two = starts[n == 2]  # most nodes are one pair
             two = two[(comps[two] != comps[two + 1]) & (_equal_bytes(sketches, two, two + 1, sizes, percent) >= 0)]
-            ones, twos = [np.minimum(ids[two], ids[two + 1])], [np.maximum(ids[two], ids[two + 1])]
-            for at, k in zip(starts[n > 2].tolist(), n[n > 2].tolist()):
-                part = slice(at, at + k)
-                for a, b in _pairs_within(ids[part], sketches[part], sizes[part], comps[part], percent, top):
-                    ones.append(a)
-                    twos.append(b)
-            if sum(map(len, ones)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ones)), pa.array(np.concatenate(twos))], ["a", "b"])
-
-        held: list[pa.RecordBatch] = []
+            ones, twos, more = [np.minimum(ids[two], ids[two + 1])], [np.maximum(ids[two], ids[two + 1])], []
+            for at, size in zip(starts[n > 2].tolist(), n[n > 2].tolist()):
+                part, cut = slice(at, at + size), False
+                for k, others, equal in _similar(sketches[part], sizes[part], comps[part], percent):
+                    others = at + others
+                    if len(others) > top:
+                        others, cut = others[np.lexsort((ids[others], -equal))[:top]], True
+                    ones.append(np.minimum(ids[at + k], ids[others]))
+                    twos.append(np.maximum(ids[at + k], ids[others]))
+                if cut:
+                    more.append(nodes[at])
+            one, two = np.concatenate(ones), np.concatenate(twos)
+            columns = [pa.array(one), pa.array(two), pa.nulls(len(one), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "node"])
+            columns = [pa.nulls(len(more), pa.int64()), pa.nulls(len(more), pa.int64()), pa.array(more, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "node"])
+
+    return run
+
+
+def _open(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of nodes that may link across components, and whether they ask."""
+        for table, starts, n in _whole_nodes(batches):
+            _, sketches, sizes, comps = _columns(table)
+            asks, met = np.zeros(len(table), bool), np.zeros(len(table), bool)
+            for at, size in zip(starts.tolist(), n.tolist()):
+                part = slice(at, at + size)
+                for k, others, _ in _similar(sketches[part], sizes[part], comps[part], percent):
+                    asks[at + k] = met[at + k] = True
+                    met[at + others] = True
+            yield from table.append_column("asks", pa.array(asks)).filter(pa.array(met)).to_batches()
+
+    return run
+
+
+class _Asking:
+    """The sets of a node that ask, and the components that links have joined."""
+
+    def __init__(self, percent: int):
+        self.percent, self.parts, self.sets, self.joined = percent, [], [], {}
+
+    def add(self, ids: np.ndarray, sketches: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> None:
+        self.parts.append((ids, sketches, comps))
+        self.sets += sets
+
+    def _label(self, comp: int) -> int:
+        while comp in self.joined:
+            comp = self.joined[comp]
+        return comp
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        """Links among the sets that ask, as many as join components; after that others may come."""
+        self.ids, self.sketches, self.labels = (np.concatenate(x) for x in zip(*self.parts))
+        self.sizes = np.array(list(map(len, self.sets)))
+        every = np.concatenate(self.sets)
+        order = np.argsort(every, kind="stable")
+        self.owner = np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        self.values, self.starts, self.counts = np.unique(every[order], return_index=True, return_counts=True)
+        for k, one in enumerate(self.sets):
+            yield from self.of(self.ids[k], self.sketches[k], self.labels[k], one, k)
+
+    def of(self, id_: int, sketch: np.ndarray, comp: int, one: np.ndarray, before: int | None = None) -> Iterator[tuple[int, int]]:
+        """Links of one set with those that ask, or with the first ``before`` of them."""
+        label = self._label(int(comp))
+        rows = np.flatnonzero(self.labels[:before] != label)
+        if not len(rows):
+            return
+        sketches, sizes = np.concatenate([self.sketches[rows], sketch[None]]), np.append(self.sizes[rows], len(one))
+        last = np.full(len(rows), len(rows))
+        rows = rows[_equal_bytes(sketches, np.arange(len(rows)), last, sizes, self.percent) >= 0]
+        if not len(rows):
+            return
+        at = np.minimum(np.searchsorted(self.values, one), len(self.values) - 1)
+        at = at[self.values[at] == one]
+        n = self.counts[at]
+        held = self.owner[np.repeat(self.starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        both = np.bincount(held, minlength=len(self.sets))[rows]
+        for k in rows[100 * both >= self.percent * (self.sizes[rows] + len(one) - both)].tolist():
+            if self.labels[k] != label:
+                yield min(int(self.ids[k]), int(id_)), max(int(self.ids[k]), int(id_))
+                old, self.joined[label] = label, int(self.labels[k])
+                label = self.joined[label]
+                self.labels[self.labels == old] = label
+
+
+def _links(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links that join components of a node, by full sets; rows come by node, those that ask first, and only these are held."""
+        node, asking, open_ = None, None, False
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            nodes = batch.column("node").to_numpy()
-            last = int(np.flatnonzero(np.diff(nodes, prepend=~nodes[:1]) != 0)[-1])
-            if last or (held and held[-1].column("node")[-1].as_py() != nodes[0]):
-                yield from found([*held, batch.slice(0, last)] if last else held)
-                held = []
-            held.append(batch.slice(last))
-        if held:
-            yield from found(held)
+            nodes, asks = batch.column("node").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            ids, sketches, _, comps = _columns(pa.Table.from_batches([batch]))
+            lists, found = batch.column("shingles"), []
+            values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            for k in range(batch.num_rows):
+                if nodes[k] != node:
+                    if open_:
+                        found += asking.links()
+                    node, asking, open_ = nodes[k], _Asking(percent), False
+                one = values[ends[k] : ends[k + 1]]
+                if asks[k]:
+                    asking.add(ids[k : k + 1], sketches[k : k + 1], comps[k : k + 1], [one.copy()])
+                    open_ = True
+                    continue
+                if open_:
+                    found += asking.links()
+                    open_ = False
+                if asking.sets:
+                    found += asking.of(ids[k], sketches[k], comps[k], one)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+        if open_ and (found := list(asking.links())):
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
 
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
-    """``a, b`` of the pairs that link, by their full sets; only the texts of sets in a pair are read again."""
-    wanted = save(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+def _full_sets(ids: DataFrame, docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
+    """``id, n, shingles`` of the sets in ``ids``; only their texts are read again."""
+    wanted = save(ids.distinct(), "wanted")
     wanted = save(sets.select("id", "doc", "digest", F.col("n").alias("size"), F.col("sign").alias("signature")).join(wanted, "id"), "wanted")
     same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("own") == F.col("digest"))
     rows = docs.select("doc_id", "text", digest().alias("own")).join(bounded(wanted, wanted.count()), same).select("id", "text")
     full = rows.mapInArrow(_shingles(width), "id long, n int, sign long, shingles array<long>").dropDuplicates(["id"])
-    full = save(full.select("id", "n", "shingles"), "shingles")
+    return save(full.select("id", "n", "shingles"), "shingles")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """``a, b`` of the pairs that link, by their full sets."""
+    full = _full_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs, sets, width)
     one = full.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     two = full.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     both = F.size(F.array_intersect("s_a", "s_b")).cast("long")
@@ -176,6 +295,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, p
     return save(met.where(100 * F.col("both") >= percent * (F.col("all") - F.col("both"))).select("a", "b"), "links")
 
 
+def _joining(rows: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """``a, b``: links that join components in nodes, a node's sets being compared in its task; ``rows`` come in order of nodes."""
+    rows = save(rows.mapInArrow(_open(percent), "node long, id long, n int, sketch binary, component long, asks boolean"), "open")
+    full = _full_sets(rows.select("id"), docs, sets, width).select("id", "shingles")
+    parts = rows.where("asks").groupBy("node").agg(F.ceil(F.sum("n") / HELD).cast("int").alias("parts"))
+    dealt = rows.join(parts, "node").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    asks = F.col("asks") & (F.pmod(F.xxhash64("id"), F.col("parts")) == F.col("part"))
+    dealt = dealt.select(F.xxhash64("node", "part").alias("node"), "id", "n", "sketch", "component", asks.alias("asks")).join(full, "id")
+    dealt = dealt.repartition("node").sortWithinPartitions("node", F.desc("asks"))
+    return save(dealt.mapInArrow(_links(percent), "a long, b long"), "links")
+
+
 def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
     rows = rows.drop("component")
     return rows.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -186,8 +317,8 @@ def _mixed(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("node")
 
 
-def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Small nodes (``node, id``), the links found between leaders and members of all others, and their components."""
+def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Small nodes (``node, id``), and the components by links between leaders and members of all others."""
     spark = sets.sparkSession
     at = sets.select("id", F.posexplode("tokens").alias("tree", "token")).select(F.xxhash64("tree", "token").alias("node"), "id")
     small, links = [], spark.createDataFrame([], "a long, b long")
@@ -235,7 +366,7 @@ def _nodes(sets: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[
     nodes = small[0]
     for more in small[1:]:
         nodes = nodes.unionByName(more)
-    return save(nodes.distinct(), "small"), links, comps
+    return save(nodes.distinct(), "small"), comps
 
 
 def near_components(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
@@ -255,9 +386,11 @@ def near_components(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     Equal sets count once from the start, so copies cost nothing more. Only hashes
     travel along the trees: eight bytes for a row of a node, and a sketch of
     ``COORDINATES`` bytes where a node is compared or branches. Full sets move
-    only for pairs whose sketches agree. In a node most pairs follow from a
-    spanning forest of probable links; those that remain, across the components
-    that this gives, are all confirmed. Links found are exact; a link is missed
+    only where sketches agree. In a node most pairs follow from a spanning forest
+    of the likeliest links, ``TOP`` of a row. Where more may link across the
+    components that this gives, the full sets meet in the node's task: it compares
+    all pairs whose sketches agree and hands on no more links than join components,
+    so tables grow with the rows of nodes and not with their pairs. Links found are exact; a link is missed
     with the chance named at ``TREES``, and 2e-4 for ``SLACK`` if it lies just at the threshold.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -271,16 +404,21 @@ def near_components(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     sets = sets.select("sign", "n", F.col("first.doc_id").alias("doc"), F.col("first.digest").alias("digest"), "tokens", "sketch")
     sets = save(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
-    nodes, known, comps = _nodes(sets, docs, width, percent)
-    for top in ROUNDS:
+    nodes, comps = _nodes(sets, docs, width, percent)
+
+    def in_order(nodes: DataFrame) -> DataFrame:
         at = save(_with_components(nodes, comps), "at")
         # A node within one component has no more to say.
         at = at.join(_mixed(at), "node", "left_semi").join(sets.select("id", "n", "sketch"), "id")
-        at = at.select("node", "id", "n", "sketch", "component").repartition("node").sortWithinPartitions("node")
-        pairs = at.mapInArrow(_compare(percent, top), "a long, b long").distinct()
-        pairs = save(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
-        comps = save(extended(comps, _confirmed(pairs, docs, sets, width, percent)), "components")
-        known = known.union(pairs)
+        return at.select("node", "id", "n", "sketch", "component").repartition("node").sortWithinPartitions("node")
+
+    likely = save(in_order(nodes).mapInArrow(_likeliest(percent, TOP), "a long, b long, node long"), "likely")
+    pairs = save(likely.where("a is not null").select("a", "b").distinct(), "pairs")
+    comps = save(extended(comps, _confirmed(pairs, docs, sets, width, percent)), "components")
+    # All pairs of other nodes that may link have been confirmed or refused.
+    more = save(likely.where("a is null").select("node"), "more")
+    rest = nodes.join(bounded(more, more.count()), "node", "left_semi")
+    comps = save(extended(comps, _joining(in_order(rest), docs, sets, width, percent)), "components")
 
     linked = save(sets.join(comps.withColumnRenamed("node", "id"), "id").select("sign", "n", "doc", "component"), "linked")
     lowest = save(linked.groupBy("component").agg(F.min("doc").alias("low")), "lowest")
