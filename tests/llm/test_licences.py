@@ -42,3 +42,18 @@ def test_own_notices_need_no_customary_word(documents, rows_of):
     )
     found = licence_paragraphs(docs, learn(docs, own), own)
     assert rows_of(found.where("confirmed"), "doc_id", "paragraph", "last", "family") == [(100, 2, 3, "Harbour"), (101, 0, 1, "Harbour"), (102, 0, 1, "Pier")]
+
+
+def test_every_document_teaches(documents, spark, rows_of):
+    """The paragraphs that share words with a notice stand in the documents whose hashes are the largest."""
+    own = {"Pier": ["Take it to the pier and back."]}
+    ids = [r[0] for r in spark.range(600).selectExpr("id", "xxhash64(id) as h").orderBy("h", "id").collect()]
+    far = "We take the ferry {} to the pier and come back by noon with it while gulls sail over many boats which carry salt fish wine wool from far islands"
+    docs = documents(*((k, far.format(k) if n >= 420 else f"Number {k} leaves at noon\nand returns with wind.") for n, k in enumerate(ids)), (600, "Take it to the pier and back."))
+    found = licence_paragraphs(docs, learn(docs, own), own)
+    assert rows_of(found, "doc_id", "family", "confirmed") == [(600, "Pier", True)]
+
+
+def test_no_documents(documents):
+    docs = documents("a").where("false")
+    assert licence_paragraphs(docs, learn(docs)).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 import string
 from collections.abc import Callable
@@ -87,8 +88,10 @@ NOTICES = {
         "Copyright. All rights reserved. No part of this publication may be reproduced without prior written permission.",
     ],
 }
-#: Documents whose paragraphs teach the unknown class, copies of a notice with words left out, share of words that must agree.
-BACKGROUND, VARIANTS, AGREE = 400, 12, 0.6
+#: What all unknown paragraphs weigh at most beside the copies of notices, copies of a notice with words left out, share of words that must agree.
+BACKGROUND, VARIANTS, AGREE = 6, 12, 0.6
+#: Steps of the bound for one unit of log-odds; beyond 35 units odds are not told apart.
+STEPS = 100
 #: Share of the words and pairs of a notice that a run of lines must hold.
 HOLDS = 0.9
 #: What a licence says, of a known family or not.
@@ -150,20 +153,20 @@ def _templates(spark: SparkSession, notices: dict[str, list[str]]) -> DataFrame:
     return _paragraphs(_table(spark, rows, "doc_id bigint, family string, text string"), "doc_id", "family")
 
 
-def _likeness(a: str, b: str) -> Column:
-    return F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))
-
-
 def learn(docs: DataFrame, notices: dict[str, list[str]] | None = None) -> Classifier:
     """A classifier of the families in ``notices`` and of unknown paragraphs.
 
     The features are the words and pairs of words that occur in notices. Each
     notice teaches with ``VARIANTS`` copies in which a fifth of the words is left
-    out. The unknown class learns from the paragraphs of ``BACKGROUND``
-    documents, chosen by a hash of the id, except those like a notice. A quarter
-    of these is set aside to calibrate: a family must be more likely than it
-    seems for all but one in a thousand of them, and than one half. The fit
-    prefers weights of nothing, so few n-grams remain.
+    out. The unknown class learns from all paragraphs of all documents, each
+    different one once, except those like a notice; together they weigh no more
+    than ``BACKGROUND`` times the copies. A quarter of them, by a hash, is set
+    aside to calibrate: a family must be more likely than it seems for all but one
+    in a thousand of these (rounded up to a step of the log-odds), and than one
+    half. The fit prefers weights of nothing, so few n-grams remain.
+
+    Paragraphs are told apart by 96 bits of hashes. Those with the same features
+    are one weighted row, so only features, numbers and hashes move.
     """
     spark = docs.sparkSession
     notices = notices or NOTICES
@@ -174,35 +177,61 @@ def learn(docs: DataFrame, notices: dict[str, list[str]] | None = None) -> Class
     left = F.filter("words", lambda w, i: (F.col("seed") == 0) | (F.pmod(F.xxhash64(w, i, "seed"), F.lit(5)) > 0))
     positive = templates.select("words", "family", seeds).select("family", left.alias("words"))
 
-    some = docs.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("_h")).distinct().orderBy("_h", "doc_id").limit(BACKGROUND)
-    ground = _paragraphs(docs.select("doc_id", "text").join(F.broadcast(some.select("doc_id")), "doc_id", "left_semi"))
-    ground = save(ground.select("words").distinct(), "paragraphs")
-    plain = ground.join(
-        F.broadcast(templates.select(F.col("words").alias("notice"))), _likeness("words", "notice") >= AGREE / 2, "left_anti"
-    )  # a bounded sample against the few notices
-    plain = save(plain.withColumn("aside", F.pmod(F.xxhash64("words"), F.lit(4)) == 0), "background")
+    plain = _plain(docs, templates, vocabulary)
+    copies, total = positive.count(), plain.where("not aside").agg(F.sum("many")).first()[0] or 0
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    rows = positive.unionByName(plain.where("not aside").select(F.lit(UNKNOWN).alias("family"), "words"))
-    rows = save(rows.select(label.alias("label"), _grams(F.col("words")).alias("grams")), "training")
+    weight = F.col("many") * min(1.0, BACKGROUND * copies / max(total, 1))
+    rows = positive.select("family", _grams(F.col("words")).alias("grams"), F.lit(1.0).alias("weight"))
+    rows = rows.unionByName(plain.where("not aside").select(F.lit(UNKNOWN).alias("family"), "grams", weight.alias("weight")))
+    rows = save(rows.select(label.alias("label"), "grams", "weight"), "training")
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", binary=True)
-    fit = LogisticRegression(maxIter=30, regParam=0.002, elasticNetParam=0.9, family="multinomial", standardization=False)
+    fit = LogisticRegression(maxIter=30, regParam=0.002, elasticNetParam=0.9, family="multinomial", standardization=False, weightCol="weight")
     model = fit.fit(vectors.transform(rows))
     matrix = model.coefficientMatrix.toArray()
     weights = {g: matrix[:, k].tolist() for k, g in enumerate(vocabulary) if matrix[:, k].any()}
     found = Classifier(families, weights, model.interceptVector.toArray().tolist(), 0.5)
-    seems = _scored(plain.where("aside").select(F.monotonically_increasing_id().alias("row"), "words"), F.col("words"), ["row"], found)
-    rank = plain.where("aside").count() // 1000
-    highest = seems.orderBy(F.desc("notice")).select("notice").limit(rank + 1).collect()
-    least = highest[rank][0] if len(highest) > rank else 0.5
-    return Classifier(families, weights, found.intercepts, max(0.5, least))
-
-
-def _scored(rows: DataFrame, words: Column, key: list[str], classifier: Classifier) -> DataFrame:
+    return Classifier(families, weights, found.intercepts, _bound(plain.where("aside"), found))
+
+
+def _plain(docs: DataFrame, templates: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``grams, aside, many``: how many different paragraphs that are not like a notice have these n-grams of the vocabulary."""
+    signs = [F.xxhash64("words").alias("h"), F.hash(F.lit("b"), "words").alias("g")]
+    grams = F.sort_array(_once(F.col("words"), lambda words: _grams(words, vocabulary)))
+    # Split inside the generator: a filter on exploded lines would split them twice.
+    lines = F.transform(F.split(F.col("text").cast("string"), "\n"), _words)
+    ground = docs.select(F.explode(F.filter(lines, lambda words: F.size(words) > 0)).alias("words"))
+    ground = ground.select(*signs, F.size(F.array_distinct("words")).alias("n"), grams.alias("grams")).distinct()
+    ground = ground.groupBy("grams", "n", (F.pmod("h", F.lit(4)) == 0).alias("aside")).agg(F.count("*").alias("many"))
+    ground = ground.withColumn("ones", F.size(F.filter("grams", lambda gram: ~F.contains(gram, F.lit(" ")))))
+    known = templates.agg(F.collect_set(F.array_distinct("words")).alias("notices"))  # one row with the few given notices
+
+    def like(notice: Column) -> Column:  # all words of a notice are in the vocabulary; most paragraphs have too few of it for any
+        alike = lambda both: both / (F.col("n") + F.size(notice) - both) >= AGREE / 2
+        return alike(F.least("ones", F.size(notice))) & alike(F.size(F.array_intersect("grams", notice)))
+
+    plain = ground.crossJoin(F.broadcast(known)).where(~F.exists("notices", like))
+    return save(plain.groupBy("grams", "aside").agg(F.sum("many").alias("many")), "background")
+
+
+def _bound(aside: DataFrame, classifier: Classifier) -> float:
+    """The chance of a notice that one in a thousand paragraphs set aside exceeds at most, one half at least."""
+    total = aside.agg(F.sum("many")).first()[0] or 0
+    seems = _scored(aside.select(F.monotonically_increasing_id().alias("row"), "many", "grams"), F.col("grams"), ["row", "many"], classifier)
+    odds = F.ln(F.col("notice") / F.greatest(1 - F.col("notice"), F.lit(1e-15)))
+    steps = seems.where("notice > 0.5").groupBy(F.ceil(odds * STEPS).cast("int").alias("step")).agg(F.sum("many").alias("many"))
+    left = total // 1000
+    for step, many in sorted(steps.collect(), reverse=True):  # 35 * STEPS at most
+        if many > left:
+            return 1 / (1 + math.exp(-step / STEPS))
+        left -= many
+    return 0.5
+
+
+def _scored(rows: DataFrame, grams: Column, key: list[str], classifier: Classifier) -> DataFrame:
     """The chance of a notice, and of each class, for rows with an n-gram that has a weight."""
     classes = range(len(classifier.families))
     weights = _table(rows.sparkSession, [{"gram": g, "w": w} for g, w in classifier.weights.items()], "gram string, w array<double>")
-    of = list(classifier.weights)
-    hits = rows.select(*key, F.explode(_once(words, lambda w: _grams(w, of))).alias("gram")).join(F.broadcast(weights), "gram")
+    hits = rows.select(*key, F.explode(grams).alias("gram")).join(F.broadcast(weights), "gram")
     sums = hits.groupBy(*key).agg(*(F.sum(F.col("w")[k]).alias(f"s{k}") for k in classes))
     lean = F.array(*(F.col(f"s{k}") + classifier.intercepts[k] for k in classes))
     share = lambda parts: F.transform(parts, lambda x: x / F.aggregate(parts, F.lit(0.0), lambda a, b: a + b))
@@ -291,7 +320,8 @@ def licence_paragraphs(docs: DataFrame, classifier: Classifier, notices: dict[st
     texts = docs.select("doc_id", "text", digest().alias("sha"))
     signs = [F.xxhash64("line").alias("h"), F.hash(F.lit("b"), "line").alias("g")]
     lines = _lines(docs.withColumn("row", F.monotonically_increasing_id()), "row").select("row", "paragraph", "line", *signs)
-    seems = _scored(lines, _words("line"), ["row", "paragraph", "h", "g"], classifier).where(F.col("notice") > classifier.least)
+    grams = _once(_words("line"), lambda words: _grams(words, list(classifier.weights)))
+    seems = _scored(lines, grams, ["row", "paragraph", "h", "g"], classifier).where(F.col("notice") > classifier.least)
     seems = save(seems.groupBy("h", "g").agg(F.max("p").alias("p")), "notices")
     families = F.array(*map(F.lit, classifier.families))
     likely = F.expr("array_max(slice(p, 2, size(p)))")
