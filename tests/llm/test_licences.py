@@ -1,5 +1,8 @@
 import textwrap
 
+from pyspark.sql import functions as F
+
+from tidemark.llm import licences, queries
 from tidemark.llm.licences import learn, licence_paragraphs
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -57,3 +60,48 @@ def test_every_document_teaches(documents, spark, rows_of):
 def test_no_documents(documents):
     docs = documents("a").where("false")
     assert licence_paragraphs(docs, learn(docs)).count() == 0
+
+
+def test_query_cuts_texts_into_words_once(documents, spark, rows_of, monkeypatch):
+    """Three passes over the texts: words of lines, lines found, runs; only the first cuts all lines into words."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(text):
+        reads.add(1)
+        return text
+
+    plain = [f"The ferry number {k} leaves the old harbour at noon\nand returns with the tide, with all permission of the port." for k in range(40)]
+    docs = documents(*plain, "Some words.\nReleased under the MIT License.\nMORE.", "===\n123\n\n" + wrapped(BSD), "", None)
+    alone = licence_paragraphs(docs, learn(docs))
+    counted = docs.withColumn("text", F.udf(read, "string").asNondeterministic()("text"))
+    monkeypatch.setattr(queries, "_table", lambda *args: counted)
+    found = rows_of(queries.QUERIES["op7_licences"](spark, ""), "doc_id", "paragraph", "last", "family", "confirmed")
+    assert reads.value <= 3 * len(plain) + 12
+    assert found == rows_of(alone, "doc_id", "paragraph", "last", "family", "confirmed")
+    assert [(d, f) for d, *_, f, sure in found if sure] == [(40, "MIT"), (41, "BSD")]
+
+
+def test_long_rules_between_words(documents, rows_of):
+    """Lines of marks are as long as they like."""
+    docs = documents("A title\n" + "=" * 50_000 + "\n" + "a.b" * 30_000 + "\n\nReleased under the MIT License. " + "- " * 30_000, "Other words.")
+    found = licence_paragraphs(docs, learn(docs))
+    assert (0, 4, 4, "MIT", True) in rows_of(found, "doc_id", "paragraph", "last", "family", "confirmed")
+
+
+def test_words_as_split_at_all_else(spark):
+    lines = ["V. 2.0. is.a._b a..b .net 3.", "BSD-style c++ é.É ÀÉ.x K \u0130I straße.", "", "...", "a\u00a0b \U0001d400.x x.\U0001d400", "tab\there\r", "Copyright (c) 2020.\r"]
+    table = spark.createDataFrame([(t,) for t in [*lines, None]], "line string")
+    low = F.translate("line", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = F.array_remove(F.split(low, r"(?:[^\p{L}\p{N}.+-]|[.](?=\W|$))+"), "")
+    assert table.where(~licences._words("line").eqNullSafe(split)).collect() == []
+
+
+def test_texts_left_out_before_the_pattern_cannot_match(documents, spark):
+    says = ["LICENSED UNDER x", "a public licence", "licence agreement", "Under the terms of this odd Licence", "RIGHTS RESERVED", "permission is granted", "Permission to use a thing granted",
+            "permission to use, copy", "Redistribution and use", "may be Redistributed", "may be freely redistributed", "public\nDomain"]
+    own = {"Übung": ["Ünder ÜBUNG Éclat"], "Pier": ["Take it to the PIER and back."]}
+    docs = documents(*says, "ÜNDER", "so ünder Übung", "so Ünder", "to the Pier", "nothing of it")
+    pieces, needed = licences._needed(spark, own)
+    met = {r[0] for r in docs.where(F.translate("text", "\n", " ").rlike(needed)).select("doc_id").collect()}
+    assert met >= set(range(len(says)))
+    assert met == {r[0] for r in licences._runs(docs, pieces, needed, "doc_id").select("doc_id").collect()}

@@ -8,6 +8,8 @@ import re
 import string
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
@@ -99,6 +101,10 @@ SAYS = (
     r"(?i)\b(?:licen[sc]ed under|public licen[sc]e|licen[sc]e agreement|under the terms of (?:the|this)(?: [\w.-]+){0,5} licen[sc]e|rights reserved"
     r"|permission (?:is|to use)(?: [\w,]+){0,12}? granted|permission to use, copy|redistribution and use|may be (?:freely )?redistributed|public domain)\b"
 )
+#: Each way of ``SAYS`` holds one of these within a word, so texts without any are not matched with it.
+SAID = ("licen", "reserved", "permission", "redistribution", "redistributed", "domain")
+#: Letters, digits, + and -, and dots inside words. Possessive: no stack grows with the length of a run, and nothing is tried twice.
+WORD = r"(?:[\p{L}\p{N}+-]++|[.](?=\w))++"
 
 
 @dataclass(frozen=True)
@@ -111,10 +117,15 @@ class Classifier:
     least: float
 
 
+def _lower(text: Column | str) -> Column:
+    """A-Z lower-cased; where all is ASCII the built-in lower() does just that, and faster."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+
+
 def _words(line: Column | str) -> Column:
     """Runs of letters, digits, dots inside words, + and -, lower-cased in A-Z."""
-    low = F.translate(line, string.ascii_uppercase, string.ascii_lowercase)
-    return F.array_remove(F.split(low, r"(?:[^\p{L}\p{N}.+-]|[.](?=\W|$))+"), "")
+    return F.regexp_extract_all(_lower(line), F.lit(WORD), F.lit(0))
 
 
 def _lines(docs: DataFrame, *more: str) -> DataFrame:
@@ -128,14 +139,13 @@ def _paragraphs(docs: DataFrame, *more: str) -> DataFrame:
 
 def _grams(words: Column, of: list[str] | None = None) -> Column:
     """The single words and pairs of words of an array, once each; of all, or of those in ``of``."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
-    ones = words
     if of is not None:
-        in_pair = sorted({w for gram in of if " " in gram for w in gram.split(" ")})
-        ones = F.filter(words, lambda w: w.isin(of))
-        begins = F.filter(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.get(words, i - 1).isin(in_pair) & F.get(words, i).isin(in_pair))
-        pairs = F.filter(F.transform(begins, lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i))), lambda g: g.isin(of))
-    return F.array_distinct(F.concat(ones, F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<string>"))))
+        begins = sorted({gram.split(" ")[0] for gram in of if " " in gram})
+        # The last word has no next one and is then a single word, which is there already if it is one of ``of``.
+        pairs = F.transform(words, lambda w, i: F.when(w.isin(begins), F.concat_ws(" ", w, F.get(words, i + 1))))
+        return F.array_distinct(F.concat(F.filter(words, lambda w: w.isin(of)), F.filter(pairs, lambda g: g.isin(of))))
+    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
+    return F.array_distinct(F.concat(words, F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<string>"))))
 
 
 def _once(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -153,7 +163,39 @@ def _templates(spark: SparkSession, notices: dict[str, list[str]]) -> DataFrame:
     return _paragraphs(_table(spark, rows, "doc_id bigint, family string, text string"), "doc_id", "family")
 
 
-def learn(docs: DataFrame, notices: dict[str, list[str]] | None = None) -> Classifier:
+def _vocabulary(spark: SparkSession, notices: dict[str, list[str]]) -> list[str]:
+    """The words and pairs of words of the given notices."""
+    return sorted(r[0] for r in _templates(spark, notices).select(F.explode(_grams(F.col("words")))).distinct().collect())  # as many as the notices have
+
+
+def _signs(of: str | Column, *names: str) -> list[Column]:
+    """96 bits of hashes, as two columns."""
+    return [sign.alias(name) for sign, name in zip((F.xxhash64(of), F.hash(F.lit("b"), of)), names)]
+
+
+def features(docs: DataFrame, notices: dict[str, list[str]] | None = None) -> DataFrame:
+    """All that ``learn`` and ``licence_paragraphs`` ask of each different line, so that one cut of the texts into words serves both."""
+    return _features(docs, _vocabulary(docs.sparkSession, notices or NOTICES))
+
+
+def _features(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``h, g, words_h, words_g, n, grams`` of each different line with words.
+
+    These are signs of the line and of its words, the number of different words and
+    the n-grams of the vocabulary. A line without any of these is only counted, as
+    its words: ``h``, ``g`` and ``n`` are 0.
+    """
+    text = F.col("text").cast("string")
+    # Split inside the generator: a filter on exploded lines would split them twice.
+    lines = F.transform(F.split(text, "\n"), lambda line: F.struct(*_signs(line, "h", "g"), _words(line).alias("words")))
+    lines = docs.select(F.explode(F.filter(lines, lambda line: F.size(line["words"]) > 0)).alias("line")).select("line.*")
+    grams = F.sort_array(_once(F.col("words"), lambda words: _grams(words, vocabulary)))
+    lines = lines.select("h", "g", *_signs("words", "words_h", "words_g"), F.size(F.array_distinct("words")).alias("n"), grams.alias("grams"))
+    met = [F.when(F.size("grams") > 0, F.col(name)).otherwise(0).alias(name) for name in ("h", "g", "n")]
+    return save(lines.select(*met, "words_h", "words_g", "grams").distinct(), "features")
+
+
+def learn(docs: DataFrame, notices: dict[str, list[str]] | None = None, lines: DataFrame | None = None) -> Classifier:
     """A classifier of the families in ``notices`` and of unknown paragraphs.
 
     The features are the words and pairs of words that occur in notices. Each
@@ -166,18 +208,19 @@ def learn(docs: DataFrame, notices: dict[str, list[str]] | None = None) -> Class
     half. The fit prefers weights of nothing, so few n-grams remain.
 
     Paragraphs are told apart by 96 bits of hashes. Those with the same features
-    are one weighted row, so only features, numbers and hashes move.
+    are one weighted row, so only features, numbers and hashes move. ``lines`` are
+    the ``features`` of these documents and notices, if they are known.
     """
     spark = docs.sparkSession
     notices = notices or NOTICES
     families = (UNKNOWN, *sorted(notices))
     templates = save(_templates(spark, notices), "notices")
-    vocabulary = sorted(r[0] for r in templates.select(F.explode(_grams(F.col("words")))).distinct().collect())  # as many as the notices have
+    vocabulary = _vocabulary(spark, notices)
     seeds = F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("seed")
     left = F.filter("words", lambda w, i: (F.col("seed") == 0) | (F.pmod(F.xxhash64(w, i, "seed"), F.lit(5)) > 0))
     positive = templates.select("words", "family", seeds).select("family", left.alias("words"))
 
-    plain = _plain(docs, templates, vocabulary)
+    plain = _plain(_features(docs, vocabulary) if lines is None else lines, templates)
     copies, total = positive.count(), plain.where("not aside").agg(F.sum("many")).first()[0] or 0
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
     weight = F.col("many") * min(1.0, BACKGROUND * copies / max(total, 1))
@@ -193,15 +236,10 @@ def learn(docs: DataFrame, notices: dict[str, list[str]] | None = None) -> Class
     return Classifier(families, weights, found.intercepts, _bound(plain.where("aside"), found))
 
 
-def _plain(docs: DataFrame, templates: DataFrame, vocabulary: list[str]) -> DataFrame:
+def _plain(lines: DataFrame, templates: DataFrame) -> DataFrame:
     """``grams, aside, many``: how many different paragraphs that are not like a notice have these n-grams of the vocabulary."""
-    signs = [F.xxhash64("words").alias("h"), F.hash(F.lit("b"), "words").alias("g")]
-    grams = F.sort_array(_once(F.col("words"), lambda words: _grams(words, vocabulary)))
-    # Split inside the generator: a filter on exploded lines would split them twice.
-    lines = F.transform(F.split(F.col("text").cast("string"), "\n"), _words)
-    ground = docs.select(F.explode(F.filter(lines, lambda words: F.size(words) > 0)).alias("words"))
-    ground = ground.select(*signs, F.size(F.array_distinct("words")).alias("n"), grams.alias("grams")).distinct()
-    ground = ground.groupBy("grams", "n", (F.pmod("h", F.lit(4)) == 0).alias("aside")).agg(F.count("*").alias("many"))
+    ground = lines.select("words_h", "words_g", "n", "grams").distinct()  # lines may differ in marks alone
+    ground = ground.groupBy("grams", "n", (F.pmod("words_h", F.lit(4)) == 0).alias("aside")).agg(F.count("*").alias("many"))
     ground = ground.withColumn("ones", F.size(F.filter("grams", lambda gram: ~F.contains(gram, F.lit(" ")))))
     known = templates.agg(F.collect_set(F.array_distinct("words")).alias("notices"))  # one row with the few given notices
 
@@ -240,24 +278,26 @@ def _scored(rows: DataFrame, grams: Column, key: list[str], classifier: Classifi
     return parts.select(*key, "p", (1 - F.col("p")[0]).alias("notice"))
 
 
-def _needed(spark: SparkSession, notices: dict[str, list[str]]) -> str:
-    """A pattern that every run holding ``HOLDS`` of a notice matches, and every run that ``SAYS`` so.
+def _needed(spark: SparkSession, notices: dict[str, list[str]]) -> tuple[list[str], str]:
+    """A pattern that every run holding ``HOLDS`` of a notice matches, and every run that ``SAYS`` so; before it, pieces one of which is in each match.
 
-    Of each notice, longest first, so many words that a run without any of them
-    lacks too many of the notice's words and pairs.
+    Of each notice, those with a piece in ``SAID`` and then the longest first, so
+    many words that a run without any of them lacks too many of the notice's words
+    and pairs.
     """
     needed: set[str] = set()
     for (words,) in sorted(_templates(spark, notices).select("words").collect()):  # the few given notices
         grams = {*((w,) for w in words), *zip(words, words[1:])}
-        for word in ["", *sorted(set(words) - needed, key=lambda w: (-len(w), w))]:
+        for word in ["", *sorted(set(words) - needed, key=lambda w: (not any(p in w for p in SAID), -len(w), w))]:
             needed |= {word} - {""}
             if sum(needed.isdisjoint(g) for g in grams) < HOLDS * len(grams):
                 break
-    return rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(re.escape(w) for w in sorted(needed))})|{SAYS}"
+    pieces = sorted(p for p in {*needed, *SAID} if not any(q != p and q in p for q in {*needed, *SAID}))
+    return pieces, rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(re.escape(w) for w in sorted(needed))})|{SAYS}"
 
 
-def _runs(docs: DataFrame, needed: str, *more: str) -> DataFrame:
-    """``first, last, run``: each run of lines that are not blank, as one text, if it matches ``needed``."""
+def _runs(docs: DataFrame, pieces: list[str], needed: str, *more: str) -> DataFrame:
+    """``first, last, run``: each run of lines that are not blank, as one text, if it matches ``needed``; a text with none of ``pieces`` has none."""
     lines = F.split(F.col("text").cast("string"), "\n")
     blank = lambda lines: F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~F.get(lines, i).rlike(r"\S"))
     ends = lambda lines: F.concat(F.array(F.lit(-1)), blank(lines), F.array(F.size(lines)))
@@ -268,7 +308,9 @@ def _runs(docs: DataFrame, needed: str, *more: str) -> DataFrame:
         return F.struct(first.alias("first"), last.alias("last"), text.alias("run"))
 
     runs = lambda lines: _once(ends(lines), lambda e: F.transform(F.sequence(F.lit(1), F.size(e) - 1), lambda k: run(lines, e, k)))
-    found = docs.where(F.translate(F.col("text").cast("string"), "\n", " ").rlike(needed)).select(*more, F.explode(_once(lines, runs)).alias("r"))
+    text = F.col("text").cast("string")
+    some = docs.where(_once(_lower(text), lambda low: reduce(or_, (F.contains(low, F.lit(p)) for p in pieces))))  # cheaper than the pattern
+    found = some.where(F.translate(text, "\n", " ").rlike(needed)).select(*more, F.explode(_once(lines, runs)).alias("r"))
     return found.select(*more, "r.*").where("last >= first").where(F.col("run").rlike(needed))
 
 
@@ -277,7 +319,7 @@ def _held(docs: DataFrame, notices: dict[str, list[str]], *more: str) -> DataFra
     templates = _templates(docs.sparkSession, notices).select("family", _grams(F.col("words")).alias("grams"))
     known = templates.agg(F.collect_list(F.struct("family", "grams")).alias("known"), F.array_distinct(F.flatten(F.collect_list("grams"))).alias("all"))
     plain = F.filter(_words("run"), lambda w: w.rlike(r"[\p{L}\p{N}]"))
-    runs = _runs(docs, _needed(docs.sparkSession, notices), *more).select(*more, "first", "last", F.col("run").rlike(SAYS).alias("says"), plain.alias("words"))
+    runs = _runs(docs, *_needed(docs.sparkSession, notices), *more).select(*more, "first", "last", F.col("run").rlike(SAYS).alias("says"), plain.alias("words"))
     met = runs.where("size(words) > 0").crossJoin(F.broadcast(known))  # one row with the few given notices
     share = lambda t, grams: F.size(F.array_intersect(grams, t["grams"])) / F.size(t["grams"])
     judged = lambda t, g: F.struct(share(t, g).alias("share"), F.size(t["grams"]).alias("n"), t["family"].alias("family"), t["grams"].alias("grams"))
@@ -286,7 +328,7 @@ def _held(docs: DataFrame, notices: dict[str, list[str]], *more: str) -> DataFra
     return met.select(*more, "first", "last", "says", best.alias("best"))
 
 
-def licence_paragraphs(docs: DataFrame, classifier: Classifier, notices: dict[str, list[str]] | None = None) -> DataFrame:
+def licence_paragraphs(docs: DataFrame, classifier: Classifier, notices: dict[str, list[str]] | None = None, lines: DataFrame | None = None) -> DataFrame:
     """``doc_id, paragraph, last, family, probability, likeness, confirmed`` of what looks like a notice.
 
     ``paragraph`` and ``last`` are its first and last line, counted from 0. Two
@@ -311,21 +353,20 @@ def licence_paragraphs(docs: DataFrame, classifier: Classifier, notices: dict[st
     classified each; other columns are not read.
 
     The weights are as many as the notices have n-grams, so they are broadcast.
-    Only sums move, one row for each paragraph that meets a weight, reduced in
-    its own task. Equal lines score alike, so what is found is a table of
-    distinct lines by 96 bits of hashes; a second pass over the texts meets it,
-    where it is broadcast if a count finds it small.
+    Equal lines score alike, so only different lines are scored, told apart by 96
+    bits of hashes: ``lines`` are the ``features`` of these documents and notices,
+    made here if they are not given. Only sums move, one row for each line that
+    meets a weight, reduced in its own task. A second pass over the texts meets
+    the lines found, which are broadcast if a count finds them few.
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text", digest().alias("sha"))
-    signs = [F.xxhash64("line").alias("h"), F.hash(F.lit("b"), "line").alias("g")]
-    lines = _lines(docs.withColumn("row", F.monotonically_increasing_id()), "row").select("row", "paragraph", "line", *signs)
-    grams = _once(_words("line"), lambda words: _grams(words, list(classifier.weights)))
-    seems = _scored(lines, grams, ["row", "paragraph", "h", "g"], classifier).where(F.col("notice") > classifier.least)
-    seems = save(seems.groupBy("h", "g").agg(F.max("p").alias("p")), "notices")
+    lines = _features(docs, list(classifier.weights)) if lines is None else lines
+    seems = _scored(lines, F.col("grams"), ["h", "g"], classifier).where(F.col("notice") > classifier.least)
+    seems = save(seems.select("h", "g", "p"), "notices")
     families = F.array(*map(F.lit, classifier.families))
     likely = F.expr("array_max(slice(p, 2, size(p)))")
-    found = _lines(texts, "doc_id", "sha").select("doc_id", "sha", "paragraph", "line", *signs)
+    found = _lines(texts, "doc_id", "sha").select("doc_id", "sha", "paragraph", "line", *_signs("line", "h", "g"))
     found = found.join(bounded(seems, seems.count()), ["h", "g"])
     found = found.select("doc_id", "sha", "paragraph", _words("line").alias("words"), likely.alias("probability"), families[(F.array_position("p", likely) - 1).cast("int")].alias("family"))
     held = _templates(spark, notices or NOTICES).groupBy("family").agg(F.collect_list("words").alias("notices"))  # the few given notices

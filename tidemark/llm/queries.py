@@ -64,7 +64,8 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return licences.licence_paragraphs(docs, licences.learn(docs))
+    lines = licences.features(docs)
+    return licences.licence_paragraphs(docs, licences.learn(docs, lines=lines), lines=lines)
 
 
 @_query
