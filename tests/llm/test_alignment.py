@@ -3,6 +3,8 @@ import hashlib
 import itertools
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm import alignment
 from tidemark.llm.alignment import Aligner, Closed, Pair, align
+from tidemark.session import save, small_batches
 
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
@@ -120,3 +123,31 @@ def test_other_columns_and_empty_tables(documents, rows_of, pair):
     docs = documents("one two", extra="1 as block;2 as pairs;'x' as at")
     assert align(docs, pair).count() == 1
     assert align(documents((1, "x")).where("doc_id > 1"), pair).count() == 0
+
+
+def test_a_block_is_aligned_in_parts(pair, monkeypatch):
+    texts = [f"{k} {k + 1} " + "some words, and a name\n" * 1500 for k in range(40)] + ["", None, "▁"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    sizes, codes = [], Aligner.codes
+    monkeypatch.setattr(Aligner, "codes", lambda self, words: sizes.append(len(words)) or codes(self, words))
+    monkeypatch.setattr(alignment, "_numbers", lambda offset: iter(range(9)))
+    blocks = list(alignment._short_texts(pair)(iter([batch])))
+    assert sum(sizes) > 4 * 50_000 and max(sizes) < 50_000 + 10_000
+    assert len(blocks) == 1  # parts of a block are one row
+    monkeypatch.setattr(alignment, "PART", 1)
+    assert list(alignment._short_texts(pair)(iter([batch]))) == blocks
+
+
+def test_batches_and_row_groups_stay_small(spark, documents, pair):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(n) for n in names]
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    with small_batches(spark, 10, 1 << 20):
+        found = save(spark.range(0, 100, 1, 1).mapInArrow(sizes, "n long"), "sizes", 3)
+    assert [r.n for r in found.collect()] == [10] * 10
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in found.inputFiles()]
+    assert max(m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)) == 3
+    with pytest.raises(ZeroDivisionError), small_batches(spark, 10, 1 << 20):
+        1 / 0
+    assert align(documents("one two"), pair).count() == 1
+    assert [spark.conf.get(n) for n in names] == before

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import release
-from tidemark.session import save
+from tidemark.session import save, small_batches
 
 MODEL_A = "/opt/tokenizers/byte_bpe_50k.json"
 RANKS_A = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -36,6 +36,12 @@ CHUNK = 1 << 16
 FAN = 8
 #: Words of a block of documents, for which links are counted together.
 BLOCK = 400_000
+#: Words of its documents that are aligned at once.
+PART = 50_000
+#: Rows and bytes of a batch that a Python task gets.
+BATCH, BATCH_BYTES = 256, 1 << 22
+#: Rows of a row group of written blocks, ranges and fragments, which may have megabytes each.
+GROUP = 8
 #: Words, and their characters, whose alignment a task remembers from block to block.
 REMEMBERED, REMEMBERED_CHARACTERS = 200_000, 4_000_000
 
@@ -335,50 +341,54 @@ def _sha(groups: bytes) -> str:
     return hashlib.sha256(groups).hexdigest()
 
 
+def _add_part(out: _Block, aligner: Aligner, ids: list[int | None], words: list[list[str]]) -> None:
+    """Some documents more in a block, by their words."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    codes = aligner.codes([x for w in words for x in w])
+    sums = np.zeros((len(words), 5), np.int64)
+    owner = np.repeat(np.arange(len(words)), lengths)
+    np.add.at(sums, owner, aligner.sums[codes])
+    good = sums[:, 4] == lengths
+    flat, at = codes.tolist(), 0
+    for k, doc_id in enumerate(ids):
+        own = flat[at : at + lengths[k]]
+        at += int(lengths[k])
+        if good[k] and own:
+            out.add(doc_id, sums[k, :4].tolist(), _sha(";".join([aligner.groups[c] for c in own]).encode()))
+        else:
+            out.add(doc_id, [0, 0, 0, 0], "")
+    use = good[owner]
+    who, pairs, times = aligner.links(owner[use], codes[use]) if use.any() else (np.zeros(0, np.int64), *NONE)
+    out.link(np.bincount(who, minlength=len(ids)).tolist(), pairs, times)
+
+
 def _short_texts(pair: Pair):
     """Blocks of the documents that are one fragment each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, numbers = Aligner(pair), _numbers(0)
-        ids: list[int | None] = []
-        words: list[list[str]] = []
-        n = 0
-
-        def block() -> pa.RecordBatch:
-            out = _Block(next(numbers))
-            lengths = np.array([len(w) for w in words], np.int64)
-            codes = aligner.codes([x for w in words for x in w])
-            sums = np.zeros((len(words), 5), np.int64)
-            owner = np.repeat(np.arange(len(words)), lengths)
-            np.add.at(sums, owner, aligner.sums[codes])
-            good = sums[:, 4] == lengths
-            flat, at = codes.tolist(), 0
-            for k, doc_id in enumerate(ids):
-                own = flat[at : at + lengths[k]]
-                at += int(lengths[k])
-                if good[k] and own:
-                    out.add(doc_id, sums[k, :4].tolist(), _sha(";".join([aligner.groups[c] for c in own]).encode()))
-                else:
-                    out.add(doc_id, [0, 0, 0, 0], "")
-            use = good[owner]
-            who, pairs, times = aligner.links(owner[use], codes[use]) if use.any() else (np.zeros(0, np.int64), *NONE)
-            out.link(np.bincount(who, minlength=len(ids)).tolist(), pairs, times)
-            return out.batch()
-
+        out, ids, words = _Block(next(numbers)), [], []
+        n = of_block = 0  # words of the part and of the block
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
+            for begin in range(0, batch.num_rows, BATCH):
+                some = batch.slice(begin, BATCH)
                 for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()):
                     ids.append(doc_id)
                     words.append(aligner.cut.split(" " + text) if text else [])
                     n += 1 + len(words[-1])
-                    if n >= BLOCK:
-                        yield block()
-                        ids, words, n = [], [], 0
+                    full = of_block + n >= BLOCK
+                    if full or n >= PART:
+                        _add_part(out, aligner, ids, words)
+                        ids, words, n, of_block = [], [], 0, of_block + n
                         aligner.relieve()
+                    if full:
+                        yield out.batch()
+                        out, of_block = _Block(next(numbers)), 0
         if ids:
-            yield block()
-        aligner.forget()
+            _add_part(out, aligner, ids, words)
+        if out.docs:
+            yield out.batch()
+        del aligner, out, ids, words
         release()
 
     return run
@@ -435,6 +445,8 @@ def _fragments(pair: Pair):
                 found = _row(row["doc"], row["part"], row["doc_id"], aligner.fragment(row["text"]))
                 yield pa.RecordBatch.from_pylist([found], FRAGMENT_SCHEMA)
                 aligner.relieve()
+        del aligner
+        release()
 
     return run
 
@@ -479,6 +491,8 @@ def _long_texts(pair: Pair):
                     out, n = _Block(next(numbers)), 0
         if out.docs:
             yield out.batch()
+        del aligner, out
+        release()
 
     return run
 
@@ -499,6 +513,23 @@ def _documents(blocks: pa.Table, found: pa.Table) -> pa.Table:
     return pa.table({**plain, "n_best": n_best, "count_sum": total, "groups_sha256": blocks.column("sha")[0].values})
 
 
+def _blocks(rows: DataFrame, pair: Pair) -> DataFrame:
+    """The written blocks of all texts."""
+    size = F.octet_length("text")
+    short = save(rows.where(size.isNull() | (size < CHUNK)).mapInArrow(_short_texts(pair), BLOCKS), "blocks", GROUP)
+    longest = rows.agg(F.max(size)).first()[0] or 0
+    if longest < CHUNK:
+        return short
+    ranges = save(rows.where(size >= CHUNK).mapInArrow(_ranges, "doc long, part long, doc_id long, text string"), "ranges", GROUP)
+    ranges = ranges.repartition("doc", "part")
+    parts = save(ranges.mapInArrow(_fragments(pair), FRAGMENTS), "fragments", GROUP)
+    left = -(-(longest + 1) // CHUNK)
+    while left > 1:
+        parts = save(parts.groupBy("doc", F.expr(f"part div {FAN}").alias("_group")).applyInArrow(_join_fragments(pair), FRAGMENTS), "fragments", GROUP)
+        left = -(-left // FAN)
+    return short.unionByName(save(parts.mapInArrow(_long_texts(pair), BLOCKS), "blocks", GROUP))
+
+
 def align(docs: DataFrame, pair: Pair) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``), with the alignment of its tokens summed up.
 
@@ -521,21 +552,9 @@ def align(docs: DataFrame, pair: Pair) -> DataFrame:
     in it is known to end tokens. Links of a block of documents are counted
     together, so a link that every document has is one row for each block.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = F.octet_length("text")
-    short = save(rows.where(size.isNull() | (size < CHUNK)).mapInArrow(_short_texts(pair), BLOCKS), "blocks")
-    longest = rows.agg(F.max(size)).first()[0] or 0
-    blocks = short
-    if longest >= CHUNK:
-        ranges = save(rows.where(size >= CHUNK).mapInArrow(_ranges, "doc long, part long, doc_id long, text string"), "ranges")
-        ranges = ranges.repartition("doc", "part")
-        parts = save(ranges.mapInArrow(_fragments(pair), FRAGMENTS), "fragments")
-        left = -(-(longest + 1) // CHUNK)
-        while left > 1:
-            parts = save(parts.groupBy("doc", F.expr(f"part div {FAN}").alias("_group")).applyInArrow(_join_fragments(pair), FRAGMENTS), "fragments")
-            left = -(-left // FAN)
-        blocks = blocks.unionByName(save(parts.mapInArrow(_long_texts(pair), BLOCKS), "blocks"))
+    with small_batches(docs.sparkSession, BATCH, BATCH_BYTES):
+        blocks = _blocks(rows, pair)
     held = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "docs")).alias("at", "x")).select("block", "at", "x.pairs", "x.docs")
     counts = save(held.groupBy("pairs").agg(F.sum("docs").alias("count")), "counts")
     highest = counts.groupBy(F.shiftright("pairs", 32).alias("a")).agg(F.max("count").alias("highest"))
